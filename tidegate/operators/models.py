@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.functions.rules import (
@@ -17,6 +17,7 @@ from tidegate.functions.rules import (
     HYBRID_FEATURES,
     binary_label,
     customer_score,
+    display_columns,
     real_mark,
     with_flags,
     with_valid_flags,
@@ -171,10 +172,13 @@ def train_hybrid_model(
     return model, rate(test, model, "real")
 
 
+def with_display_texts(scored: DataFrame) -> DataFrame:
+    """Add the texts a report shows beside the numbers."""
+    return scored.withColumns(display_columns(F.col("confidence")))
+
+
 def assemble(df: DataFrame, inputs: Sequence[str]) -> DataFrame:
     """A feature vector from numeric columns, or from one array column."""
-    from pyspark.ml.functions import array_to_vector
-
     if len(inputs) == 1 and df.schema[inputs[0]].dataType.typeName() == "array":
         return df.withColumn("features", array_to_vector(F.col(inputs[0]).cast("array<double>")))
     return VectorAssembler(inputCols=list(inputs), outputCol="features").transform(df)

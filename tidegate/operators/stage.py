@@ -23,7 +23,7 @@ from tidegate.operators.models import LinearScore, score_customers
 from tidegate.operators.register import REGISTERED
 from tidegate.operators.sources import source_attributes
 from tidegate.plans.ordering import number_lines
-from tidegate.session import written
+from tidegate.session import path_exists, qualified, written
 from tidegate.sources.delimited import BAD_RECORD, FeedColumn, feed_options, read_delimited, read_fixed_width, typed_select
 from tidegate.sources.headers import first_lines
 from tidegate.sources.landing import plain_path
@@ -224,7 +224,7 @@ def plan_stage(meta: Meta, landing_root: str, full_options: bool = False, strict
         F.coalesce("reject_reason", F.when(F.col("source_id").isNull(), F.lit("No source attributes found."))),
     )
     below = F.regexp_replace("file_path", "^/Files", "")
-    path = plain_path(F.concat(F.lit(landing_root.rstrip("/")), below, F.lit("/"), F.col("filename")))
+    path = plain_path(F.concat(F.lit(qualified(files.sparkSession, landing_root)), below, F.lit("/"), F.col("filename")))
     files = files.withColumns({"path": path, "stage_table_name": stage_table_name(F.col("stage_name"), F.col("file_id"))})
     return files
 
@@ -332,16 +332,11 @@ def _write(
     writer.partitionBy("stage_name", "file_id").parquet(out)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def _outcomes(spark: SparkSession, files: DataFrame, out: str, failures: dict[str, str]) -> DataFrame:
     """Count what was written. Only the partitions of this run and the bad-row column are read."""
     counted = "_corrupt_record string, stage_name string, file_id long"
     low, high = files.agg(F.min("file_id"), F.max("file_id")).first()
-    if _exists(spark, out):
+    if path_exists(spark, out):
         stored = spark.read.schema(counted).parquet(out).filter(F.col("file_id").between(low, high))
     else:
         stored = spark.createDataFrame([], counted)

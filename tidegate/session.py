@@ -54,3 +54,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as listings spell it."""
+    target, system = _hadoop(spark, path)
+    return system.makeQualified(target).toString().rstrip("/")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = _hadoop(spark, path)
+    return system.exists(target)

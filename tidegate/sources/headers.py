@@ -4,23 +4,27 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tidegate.sources.landing import row_path
 
 
-@F.pandas_udf("string")
-def _first_line(paths: pd.Series) -> pd.Series:
-    from pyarrow import fs
+def _line_reader():
+    """Reads the first line of files on mounted storage. Built here so that it travels to executors by value."""
 
-    def read(path: str) -> str | None:
-        with fs.LocalFileSystem().open_input_stream(path.removeprefix("file:")) as stream:
-            seen = b""
-            while b"\n" not in seen and (more := stream.read(65536)):
-                seen += more
-        text = seen.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r")
-        return text or None
+    def first_line(paths: pd.Series) -> pd.Series:
+        from pyarrow import fs
 
-    return paths.map(read)
+        def read(path):
+            with fs.LocalFileSystem().open_input_stream(path.removeprefix("file:")) as stream:
+                seen = b""
+                while b"\n" not in seen and (more := stream.read(65536)):
+                    seen += more
+            return seen.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r") or None
+
+        return paths.map(read, na_action="ignore")
+
+    return F.pandas_udf(first_line, T.StringType())
 
 
 def first_lines(files: DataFrame) -> DataFrame:
@@ -32,7 +36,7 @@ def first_lines(files: DataFrame) -> DataFrame:
     spark = files.sparkSession
     foreign = files.filter(~F.col("path").startswith("file:/"))
     if foreign.isEmpty():
-        return files.withColumn("header", _first_line("path"))
+        return files.withColumn("header", _line_reader()("path"))
     paths = [r["path"] for r in files.select("path").distinct().toLocalIterator()]
     lines = spark.read.text(paths).select(
         row_path().alias("path"),
