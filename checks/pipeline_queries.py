@@ -103,7 +103,7 @@ CASE WHEN src % 3 = 2 THEN 'N' ELSE 'Y' END AS header_ok FROM (SELECT DISTINCT s
 )
 def header_check(spark, d):
     m, root = landing.registered_meta(spark, d, NOW)
-    headed = stage.first_lines(stage.plan_stage(m, root))
+    headed = stage.first_lines(stage.plan_stage(m, root), root)
     verdicts = stage.check_headers(headed, m.source_feed_column)
     return verdicts.select(
         F.col("source_id").alias("object_id"),

@@ -193,7 +193,7 @@ def lr_train_score(spark, d):
 def lr_evaluate(spark, d):
     _, tested = models.train_customer_model(customers(spark, d), ["customer_id"])
     rows = tested.select("label", F.col("prediction").cast("int").alias("prediction"), F.col("probability").alias("score"))
-    return evaluate.metrics(rows).join(evaluate.area_under_roc(rows), F.lit(True))
+    return evaluate.metrics(rows).withColumn("area_under_roc", evaluate.area_under_roc(rows).scalar())
 
 
 @query()

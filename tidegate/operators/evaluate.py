@@ -56,17 +56,11 @@ def _threshold_counts(scored: DataFrame) -> DataFrame:
     return running_totals(counts, [F.desc("score")], {"pos": "tp", "neg": "fp"})
 
 
-def _with_rates(counts: DataFrame) -> DataFrame:
-    totals = counts.agg(F.max("tp").alias("all_pos"), F.max("fp").alias("all_neg"))
-    return counts.join(F.broadcast(totals), F.lit(True))
-
-
 def roc_points(scored: DataFrame) -> DataFrame:
     """False- and true-positive rate at each distinct score used as the threshold."""
-    rates = _with_rates(_threshold_counts(scored))
-    return rates.select(
-        "score", "tp", "fp", (F.col("fp") / F.col("all_neg")).alias("fpr"), (F.col("tp") / F.col("all_pos")).alias("tpr")
-    )
+    counts = _threshold_counts(scored)
+    positives, negatives = counts.agg(F.max("tp")).scalar(), counts.agg(F.max("fp")).scalar()
+    return counts.select("score", "tp", "fp", (F.col("fp") / negatives).alias("fpr"), (F.col("tp") / positives).alias("tpr"))
 
 
 def area_under_roc(scored: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from tidegate.meta import Meta
 from tidegate.operators.batches import STARTED, current_batches
 from tidegate.plans.keys import beside, matching
 from tidegate.plans.patterns import like_join
+from tidegate.plans.skew import salted_join, thinned
 
 # Source codes of the customer-recognition output, by type.
 KB_OUTPUT = "KB_Match_Output"
@@ -73,7 +74,7 @@ def file_attributes_by_name(meta: Meta, filenames: DataFrame | None = None) -> D
 def unknown_files(meta: Meta, filenames: DataFrame) -> DataFrame:
     """Requested file names that have no id."""
     wanted = filenames.select(F.trim("filename").alias("filename")).distinct()
-    return wanted.join(meta.data_file, "filename", "left_anti").withColumn("error", F.lit("No file id for this file name"))
+    return wanted.join(thinned(meta.data_file.select("filename")), "filename", "left_anti").withColumn("error", F.lit("No file id for this file name"))
 
 
 def _open_batch_files(meta: Meta, statuses: list[str], keys: DataFrame | None) -> DataFrame:
@@ -142,6 +143,10 @@ def files_of_source_in_batch(meta: Meta, wanted: DataFrame) -> DataFrame:
 
 def purgeable_files(meta: Meta) -> DataFrame:
     """Files of sources that have a purge rule, with source and object columns."""
+    files = meta.data_file
     purged = meta.source.filter(is_set(F.col("purge_type")))
     described = beside(purged, meta.data_object, "object_", {"source_id": "object_id"})
-    return beside(meta.data_file, described, "source_", {"object_id": "source_id"})
+    named = [F.col(c).alias(f"source_{c}" if c in files.columns else c) for c in described.columns]
+    lookup = described.select(F.col("source_id").alias("_owner"), *named)
+    owned = salted_join(files.withColumn("_owner", F.col("object_id")), lookup, ["_owner"], ["file_id"])
+    return owned.drop("_owner")

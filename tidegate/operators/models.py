@@ -54,11 +54,13 @@ def fit_classifier(
     and every iteration runs over the few distinct rows instead of the whole table.
     """
     require_columns(flagged, [label, *features], "training rows")
-    counted = flagged.groupBy(*features, F.col(label).cast("double").alias("_label")).agg(
+    kept = flagged.groupBy(*features, F.col(label).cast("double").alias("_label")).agg(
         F.count("*").cast("double").alias("_weight")
     )
-    counted = counted.persist()
+    kept = kept.persist()
     try:
+        # A few hundred rows for 0/1 flags; one partition then, so that an iteration costs one short task.
+        counted = kept.coalesce(1 + kept.count() // 100_000)
         if counted.select("_label").distinct().count() < 2:
             raise ValueError("training rows need both label values")
         pipeline = Pipeline(
@@ -76,7 +78,7 @@ def fit_classifier(
         )
         return pipeline.fit(counted)
     finally:
-        counted.unpersist()
+        kept.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:

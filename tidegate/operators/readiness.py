@@ -10,6 +10,7 @@ from tidegate.functions.dates import elapsed_units
 from tidegate.meta import Meta
 from tidegate.operators.batches import current_batch_id
 from tidegate.plans.keys import require_columns
+from tidegate.plans.skew import salted_join
 
 REQUIRED = "required_ind = 'Y'"
 
@@ -100,7 +101,7 @@ def missing_required_counts(meta: Meta) -> DataFrame:
     asked = required.groupBy(F.col("category").alias("batch_name")).agg(F.count("*").alias("expected_count"))
     staged = _staged_sources(meta.data_file.select("batch_id", "object_id", "stg_good_record_count"))
     have = (
-        staged.join(required.select("source_id", F.col("category").alias("batch_name")), "source_id")
+        salted_join(staged, required.select("source_id", F.col("category").alias("batch_name")), ["source_id"], ["batch_id"])
         .groupBy("batch_id", "batch_name")
         .agg(F.count("*").alias("_have"))
     )

@@ -14,6 +14,7 @@ from tidegate.operators.sources import file_objects
 from tidegate.plans.keys import require_columns
 from tidegate.plans.ordering import next_id, number_rows
 from tidegate.plans.patterns import glob_join
+from tidegate.plans.skew import salted_join, thinned
 
 REGISTERED = "REGISTERED"
 SYSTEM_USER = "system"
@@ -58,13 +59,16 @@ def match_objects(files: DataFrame, objects: DataFrame) -> DataFrame:
     homes = files.select("directory").distinct().select("directory", F.explode(above).alias("_home"))
     local = homes.join(known, "_home").select("directory", "object_id", "filename_pattern")
     fits = glob_join(files, "filename", local, "filename_pattern", on=["directory"], catalog=known)
-    owner = fits.groupBy("filename").agg(F.min("object_id").alias("object_id"))
-    return fits.join(owner, ["filename", "object_id"], "left_semi")
+    claims = fits.groupBy("filename").agg(F.min("object_id").alias("_first"), F.max("object_id").alias("_last"))
+    contested = claims.filter("_first < _last").select("filename", "_first")
+    judged = salted_join(fits, contested, ["filename"], ["path"], "left")
+    return judged.filter("_first IS NULL OR object_id = _first").drop("_first")
 
 
 def new_files(meta: Meta, listing: DataFrame, root: str = "/Files") -> DataFrame:
     """Landed files that fit an object and whose name is not in the registry yet."""
-    unknown = landed_files(listing, root).join(meta.data_file.select("filename"), "filename", "left_anti")
+    known = thinned(meta.data_file.select("filename"))
+    unknown = landed_files(listing, root).join(known, "filename", "left_anti")
     return match_objects(unknown, file_objects(meta))
 
 

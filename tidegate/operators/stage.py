@@ -23,6 +23,7 @@ from tidegate.operators.models import LinearScore, score_customers
 from tidegate.operators.register import REGISTERED
 from tidegate.operators.sources import source_attributes
 from tidegate.plans.ordering import number_lines
+from tidegate.plans.skew import salted_join
 from tidegate.session import path_exists, qualified, written
 from tidegate.sources.delimited import BAD_RECORD, FeedColumn, feed_options, read_delimited, read_fixed_width, typed_select
 from tidegate.sources.headers import first_lines
@@ -122,9 +123,9 @@ def files_with_attributes(meta: Meta, files: DataFrame) -> DataFrame:
     side = attributes.select(
         *[(F.col(c) if c in have else F.lit(None).cast("string")).alias(c) for c in wanted], target.alias("target_object_id")
     )
-    return files.select("file_id", "object_id", "batch_id", "filename", "file_path").join(
-        side, F.col("object_id") == F.col("source_id"), "left"
-    )
+    lookup = side.withColumn("_owner", F.col("source_id"))
+    rows = files.select("file_id", "object_id", "batch_id", "filename", "file_path").withColumn("_owner", F.col("object_id"))
+    return salted_join(rows, lookup, ["_owner"], ["file_id"], "left").drop("_owner")
 
 
 def header_names(header: Column, delimiter: Column) -> Column:
@@ -229,10 +230,11 @@ def plan_stage(meta: Meta, landing_root: str, full_options: bool = False, strict
     return files
 
 
-def _with_headers(files: DataFrame, feed: DataFrame) -> DataFrame:
+def _with_headers(files: DataFrame, feed: DataFrame, root: str) -> DataFrame:
     """Add header and verdict to the files that have one; the others need no header."""
-    headed = written(first_lines(files), "headers")
-    joined = headed.join(check_headers(headed, feed), ["source_id", "column_delimiter", "header"], "left")
+    headed = written(first_lines(files, root), "headers")
+    verdicts = check_headers(headed, feed)
+    joined = salted_join(headed, verdicts, ["source_id", "column_delimiter", "header"], ["file_id"], "left")
     mismatch = F.format_string(
         "Header mismatch: %d missing, %d extra, %d repeated column(s).", "missing_columns", "extra_columns", "repeated_columns"
     )
@@ -257,18 +259,30 @@ def stage_files(
     planned = plan_stage(meta, landing_root, full_options, strict)
     usable = planned.filter("reject_reason IS NULL")
     headed = F.coalesce("header_row_count", F.lit(0)) > 0
-    checked = _with_headers(usable.filter(headed), feed)
+    checked = _with_headers(usable.filter(headed), feed, landing_root)
     bare = usable.filter(~headed).withColumn("header", F.lit(None).cast("string"))
     rejected = planned.filter("reject_reason IS NOT NULL").withColumn("header", F.lit(None).cast("string"))
-    files = written(checked.unionByName(bare).unionByName(rejected), "files")
+    every = salted_join(checked.unionByName(bare).unionByName(rejected), _spec(feed), ["source_id"], ["file_id"], "left")
     form = F.to_json(F.struct(*_LAYOUT_COLUMNS, F.lower("header").alias("header"), "spec"))
-    ready = files.filter("reject_reason IS NULL").join(_spec(feed), "source_id")
-    ready = written(ready.select("path", "file_id", "stage_name", form.alias("layout")), "ready")
+    undeclared = F.when(F.col("spec").isNull(), F.lit("No columns are declared for this source."))
+    files = written(
+        every.select(
+            "file_id",
+            "object_id",
+            "stage_name",
+            "stage_table_name",
+            "path",
+            F.coalesce("reject_reason", undeclared).alias("reject_reason"),
+            form.alias("layout"),
+        ),
+        "files",
+    )
     failures: dict[str, str] = {}
+    ready = files.filter("reject_reason IS NULL").select("path", "file_id", "stage_name", "layout")
     for row in ready.select("layout").distinct().collect():
         group = ready.filter(F.col("layout") == row["layout"]).drop("layout")
         _load(spark, group, _layout(json.loads(row["layout"])), out, model, failures)
-    return written(_outcomes(spark, files, out, failures), "outcomes")
+    return _outcomes(spark, files, out, failures)
 
 
 def _layout(form: dict) -> Layout:
@@ -295,12 +309,11 @@ def _load(
     spark: SparkSession, group: DataFrame, layout: Layout, out: str, model: LinearScore | None, failures: dict[str, str]
 ) -> None:
     """Read, score and write the files of one layout; if that fails, halve the list until the bad files are alone."""
-    kept = written(group, "group")
-    paths = [r["path"] for r in kept.select("path").distinct().toLocalIterator()]
+    paths = sorted(r["path"] for r in group.select("path").toLocalIterator())
 
     def run(some: list[str]) -> None:
         try:
-            _write(spark, _read(spark, layout, some), kept, layout, out, model)
+            _write(_read(spark, layout, some), group, layout, out, model)
         except Exception as problem:
             if len(some) == 1:
                 failures[some[0]] = str(problem).split("\n")[0][:500]
@@ -313,9 +326,7 @@ def _load(
         run(paths)
 
 
-def _write(
-    spark: SparkSession, rows: DataFrame, files: DataFrame, layout: Layout, out: str, model: LinearScore | None
-) -> None:
+def _write(rows: DataFrame, files: DataFrame, layout: Layout, out: str, model: LinearScore | None) -> None:
     """Attach file id and stage name by path (a small table, broadcast by its size), score, and write partitions."""
     names = [c.name for c in layout.columns]
     owned = rows.join(files.withColumnRenamed("path", "_path"), "_path")

@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidegate.plans.skew import thinned
+
 
 def require_columns(df: DataFrame | None, columns: Iterable[str], what: str) -> None:
     if df is None:
@@ -24,7 +26,7 @@ def matching(table: DataFrame, keys: DataFrame | None, *on: str, trim: bool = Fa
         return table
     require_columns(keys, on, "keys")
     wanted = keys.select(*[(F.trim(c) if trim else F.col(c)).alias(c) for c in on])
-    return table.join(wanted, list(on), "left_semi")
+    return table.join(thinned(wanted), list(on), "left_semi")
 
 
 def beside(left: DataFrame, right: DataFrame, prefix: str, on, how: str = "inner") -> DataFrame:

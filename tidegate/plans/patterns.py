@@ -44,6 +44,7 @@ def _join(
     pattern: str,
     head: Column,
     shape: Column,
+    ends: Column,
     test: Column,
     on: Sequence[str],
     catalog: DataFrame | None,
@@ -66,12 +67,14 @@ def _join(
         *patterns.columns,
         F.when(usual, F.col("_shape")).otherwise(F.repeat(F.lit("x"), F.length(cut))).alias("_shape"),
         F.when(usual, F.col("_head")).otherwise(cut).alias("_key"),
+        (usual & ends).alias("_sure"),
     )
     shapes = list(dict.fromkeys(common + (["x" * n for n in _SHORT_HEADS] if len(common) == MAX_SHAPES else [])))
     probes = F.array(*[F.struct(F.lit(s).alias("shape"), _probe(F.col(name), s).alias("key")) for s in shapes])
     probed = names.select("*", F.explode(probes).alias("_p")).filter(F.col("_p.key").isNotNull())
     probed = probed.select(*names.columns, F.col("_p.shape").alias("_shape"), F.col("_p.key").alias("_key"))
-    return probed.join(keyed, ["_shape", "_key", *on]).filter(test).drop("_shape", "_key")
+    # A pattern that is its head and one last wildcard is decided by the join; only the others are tested.
+    return probed.join(keyed, ["_shape", "_key", *on]).filter(F.when(F.col("_sure"), True).otherwise(test)).drop("_shape", "_key", "_sure")
 
 
 def like_join(
@@ -92,7 +95,8 @@ def like_join(
     )
     shape = F.regexp_replace(head, "(?s)[^_]", "x")
     test = F.like(F.col(name), F.col(pattern))
-    return _join(names, name, patterns, pattern, head, shape, test, on, catalog)
+    ends = (F.col(pattern) == F.concat(head, F.lit("%"))) & ~F.contains(pattern, F.lit("\\"))
+    return _join(names, name, patterns, pattern, head, shape, ends, test, on, catalog)
 
 
 def glob_join(
@@ -106,5 +110,6 @@ def glob_join(
     """Pairs where the whole ``name`` matches a file-name pattern; case matters."""
     head = F.regexp_extract(pattern, r"^[^%*?\[]*", 0)
     shape = F.regexp_replace(head, "(?s).", "x")
+    ends = F.col(pattern).isin(F.concat(head, F.lit("%")), F.concat(head, F.lit("*")))
     test = F.rlike(F.col(name), glob_to_regex(F.col(pattern)))
-    return _join(names, name, patterns, pattern, head, shape, test, on, catalog)
+    return _join(names, name, patterns, pattern, head, shape, ends, test, on, catalog)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.text import EMPTY_WORDS
+from tidegate.plans.skew import salted_join
 from tidegate.session import written
 from tidegate.sources.landing import row_path
 
@@ -169,7 +170,7 @@ def skip_first_lines(rows: DataFrame, count: int) -> DataFrame:
     """Drop the first lines of every file. The rows are kept first, so both passes see the same places."""
     kept = written(rows, "headed")
     starts = kept.filter("_block = 0").groupBy("_path").agg(F.min("_at").alias("_first"))
-    joined = kept.join(starts, "_path", "left")
+    joined = salted_join(kept, starts, ["_path"], ["_at"], "left")
     body = joined.filter((F.col("_block") != 0) | (F.col("_at") - F.col("_first") >= count))
     return body.select(*rows.columns)
 

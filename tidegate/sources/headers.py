@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from tidegate.session import qualified
 from tidegate.sources.landing import row_path
 
 
@@ -27,16 +28,17 @@ def _line_reader():
     return F.pandas_udf(first_line, T.StringType())
 
 
-def first_lines(files: DataFrame) -> DataFrame:
-    """Add ``header``, the first line of each ``path``; NULL for an empty file.
+def first_lines(files: DataFrame, root: str) -> DataFrame:
+    """Add ``header``, the first line of each ``path`` below ``root``; NULL for an empty file.
 
     On mounted storage only the start of each file is read. Other storage is scanned by Spark's text reader, which keeps one
     line per file before its shuffle.
     """
     spark = files.sparkSession
-    foreign = files.filter(~F.col("path").startswith("file:/"))
-    if foreign.isEmpty():
-        return files.withColumn("header", _line_reader()("path"))
+    if qualified(spark, root).startswith("file:/"):
+        # A fixed number of partitions, which adaptive execution does not merge: the files are opened side by side.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return files.repartition(parts, "path").withColumn("header", _line_reader()("path"))
     paths = [r["path"] for r in files.select("path").distinct().toLocalIterator()]
     lines = spark.read.text(paths).select(
         row_path().alias("path"),
