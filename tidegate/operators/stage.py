@@ -27,7 +27,6 @@ from tidegate.plans.skew import salted_join
 from tidegate.session import path_exists, qualified, written
 from tidegate.sources.delimited import BAD_RECORD, FeedColumn, feed_options, read_delimited, read_fixed_width, typed_select
 from tidegate.sources.headers import first_lines
-from tidegate.sources.landing import plain_path
 
 COMPLETED = "COMPLETED"
 ERROR = "ERROR"
@@ -218,14 +217,14 @@ def plan_stage(meta: Meta, landing_root: str, full_options: bool = False, strict
         plain = {c: F.lit(None).cast(files.schema[c].dataType) for c in _LAYOUT_COLUMNS if c != "column_delimiter"}
         plain["header_row_count"] = F.lit(1).cast("long")
         plain["text_qualifier"] = F.lit('"')
-        files = files.withColumns(plain).withColumn("column_delimiter", F.coalesce("column_delimiter", F.lit(",")))
+        files = files.withColumns(plain).withColumn("column_delimiter", F.when(F.col("column_delimiter") != "", F.col("column_delimiter")).otherwise(","))
     files = reject_reasons(files) if strict else files.withColumn("reject_reason", F.lit(None).cast("string"))
     files = files.withColumn(
         "reject_reason",
         F.coalesce("reject_reason", F.when(F.col("source_id").isNull(), F.lit("No source attributes found."))),
     )
     below = F.regexp_replace("file_path", "^/Files", "")
-    path = plain_path(F.concat(F.lit(qualified(files.sparkSession, landing_root)), below, F.lit("/"), F.col("filename")))
+    path = F.concat(F.lit(qualified(files.sparkSession, landing_root)), below, F.lit("/"), F.col("filename"))
     files = files.withColumns({"path": path, "stage_table_name": stage_table_name(F.col("stage_name"), F.col("file_id"))})
     return files
 
@@ -238,7 +237,11 @@ def _with_headers(files: DataFrame, feed: DataFrame, root: str) -> DataFrame:
     mismatch = F.format_string(
         "Header mismatch: %d missing, %d extra, %d repeated column(s).", "missing_columns", "extra_columns", "repeated_columns"
     )
-    reason = F.when(F.col("header").isNull(), "The file is empty.").when(~F.col("header_ok"), mismatch)
+    reason = (
+        F.when(F.col("header").isNull(), "The file cannot be read.")
+        .when(F.col("header") == "", "The file is empty.")
+        .when(~F.col("header_ok"), mismatch)
+    )
     return joined.withColumn("reject_reason", F.coalesce("reject_reason", reason)).select(*headed.columns)
 
 
@@ -282,7 +285,7 @@ def stage_files(
     for row in ready.select("layout").distinct().collect():
         group = ready.filter(F.col("layout") == row["layout"]).drop("layout")
         _load(spark, group, _layout(json.loads(row["layout"])), out, model, failures)
-    return _outcomes(spark, files, out, failures)
+    return written(_outcomes(spark, files, out, failures), "outcomes")
 
 
 def _layout(form: dict) -> Layout:

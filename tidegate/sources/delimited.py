@@ -92,7 +92,7 @@ def feed_options(row: dict[str, object]) -> FeedOptions:
 
     delimiter = row.get("column_delimiter")
     return FeedOptions(
-        delimiter=delimiter if delimiter and _text(delimiter.strip() or "\t") else None,
+        delimiter=None if delimiter is None or delimiter.lower() in EMPTY_WORDS else delimiter,
         quote=_text(row.get("text_qualifier")),
         escape=_text(row.get("escape_char")) or _text(row.get("escape_unenclosed_field")),
         header_rows=int(row.get("header_row_count") or 0),

@@ -17,11 +17,14 @@ def _line_reader():
         from pyarrow import fs
 
         def read(path):
-            with fs.LocalFileSystem().open_input_stream(path.removeprefix("file:")) as stream:
-                seen = b""
-                while b"\n" not in seen and (more := stream.read(65536)):
-                    seen += more
-            return seen.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r") or None
+            try:
+                with fs.LocalFileSystem().open_input_stream(path.removeprefix("file:")) as stream:
+                    seen = b""
+                    while b"\n" not in seen and (more := stream.read(65536)):
+                        seen += more
+            except OSError:
+                return None
+            return seen.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r")
 
         return paths.map(read, na_action="ignore")
 
@@ -29,7 +32,7 @@ def _line_reader():
 
 
 def first_lines(files: DataFrame, root: str) -> DataFrame:
-    """Add ``header``, the first line of each ``path`` below ``root``; NULL for an empty file.
+    """Add ``header``, the first line of each ``path`` below ``root``; NULL if a file cannot be read.
 
     On mounted storage only the start of each file is read. Other storage is scanned by Spark's text reader, which keeps one
     line per file before its shuffle.
