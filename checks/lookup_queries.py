@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from checks.bindings import meta, table
 from checks.registry import query
 from tidegate.operators import batches, files, parties, processes, readiness, sources, targets
 
-AS_OF = datetime(2002, 1, 30, 12, 0, 0)
+AS_OF = "2002-01-30 12:00:00"
 
 
 @query("batch", "SELECT * FROM batch WHERE end_time IS NULL")
@@ -506,12 +504,12 @@ WHERE current_batch_file_count < expected_number_of_files"""
 
 @query("source data_object data_file batch", _late("1 = 1", "LEFT"))
 def required_files_n(spark, d):
-    return readiness.late_sources(meta(spark, d), AS_OF)
+    return readiness.late_sources(meta(spark, d), F.to_timestamp_ntz(F.lit(AS_OF)))
 
 
 @query("source data_object data_file batch", _late("coalesce(f.stg_good_record_count, 0) <> 0", ""))
 def required_files_y(spark, d):
-    return readiness.late_sources(meta(spark, d), AS_OF, skip_empty="Y")
+    return readiness.late_sources(meta(spark, d), F.to_timestamp_ntz(F.lit(AS_OF)), skip_empty="Y")
 
 
 _EXPECTED = """SELECT b.batch_id, b.batch_name, s.source_id, s.source_code, o.required_ind, 1 AS expected_count,

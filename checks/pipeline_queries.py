@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from checks import landing
 from checks.bindings import BINDINGS, customers, meta, table
-from checks.quality_queries import CHANCE_SQL, FLAG_SQL, WEIGHTS
+from checks.quality_queries import CHANCE_SQL, WEIGHTS
 from checks.registry import query
 from tidegate import schemas
-from tidegate.functions import rules
-from tidegate.operators import changes, processes, register, stage
+from tidegate.operators import changes, processes, register, sources, stage
 from tidegate.plans.ordering import next_id, number_lines
 from tidegate.session import scratch_path, written
 from tidegate.sources import delimited
@@ -21,6 +20,11 @@ from tidegate.sources.landing import list_files
 NOW = datetime(2002, 1, 30, 12, 0, 0)
 
 
+def now():
+    """The same time as a column that does not depend on a time zone."""
+    return F.to_timestamp_ntz(F.lit("2002-01-30 12:00:00"))
+
+
 def _listing(spark, d):
     """Paths of all registered files, and one new path per page; a quarter of those lies in a folder of no source."""
     m = meta(spark, d)
@@ -103,8 +107,7 @@ CASE WHEN src % 3 = 2 THEN 'N' ELSE 'Y' END AS header_ok FROM (SELECT DISTINCT s
 )
 def header_check(spark, d):
     m, root = landing.registered_meta(spark, d, NOW)
-    headed = stage.first_lines(stage.plan_stage(m, root), root)
-    verdicts = stage.check_headers(headed, m.source_feed_column)
+    _, verdicts = stage.header_report(stage.plan_stage(m, root), m.source_feed_column, root)
     return verdicts.select(
         F.col("source_id").alias("object_id"),
         F.col("missing_columns").cast("int").alias("missing_columns"),
@@ -149,7 +152,7 @@ FROM lines GROUP BY src""",
 def stage_counts(spark, d):
     """The registry after a load: loaded files counted and completed, files with a wrong header as before."""
     m, outcomes, _ = _staged(spark, d)
-    registry = stage.registry_after_load(m.data_file, outcomes, F.lit(NOW))
+    registry = stage.registry_after_load(m.data_file, outcomes, now())
     return registry.groupBy("object_id", "file_status").agg(
         F.sum("row_count").alias("row_count"), F.sum("stg_good_record_count").alias("stg_good_record_count")
     )
@@ -169,7 +172,7 @@ def registry_after_load(spark, d):
         "file_id", F.lit(None).cast("string").alias("reject_reason"), (F.col("row_count") + bad).alias("row_count"),
         bad.alias("error_row_count"),
     )
-    out = stage.registry_after_load(m.data_file, outcomes, F.lit(NOW))
+    out = stage.registry_after_load(m.data_file, outcomes, now())
     return out.select("file_id", "file_status", "row_count", "stg_good_record_count", "modified_date")
 
 
@@ -196,7 +199,7 @@ FROM data_file f LEFT JOIN changes c ON c.file_id = f.file_id""",
     {"changes": _CHANGES},
 )
 def partial_update(spark, d):
-    return changes.fill_update(meta(spark, d).data_file, _changes(spark, d), "file_id", {"modified_date": F.lit(NOW)})
+    return changes.fill_update(meta(spark, d).data_file, _changes(spark, d), "file_id", {"modified_date": now()})
 
 
 @query("data_file", "SELECT count(*) AS updated_rows FROM data_file WHERE file_id IN (SELECT file_id FROM changes)", {"changes": _CHANGES})
@@ -284,7 +287,7 @@ def process_log_open(spark, d):
     runs = m.batch.filter("batch_status = 'STARTED'").select(
         F.lit("view").alias("process_name"), "batch_id", F.col("batch_id").alias("run")
     )
-    opened = processes.open_process_logs(m, runs, F.lit(NOW))
+    opened = processes.open_process_logs(m, runs, now())
     return opened.select("process_log_id", "process_id", "batch_id", "status")
 
 
@@ -301,7 +304,7 @@ def process_log_close(spark, d):
         F.when(F.col("process_id") != 5, 7).cast("long").alias("inserted_rows"),
         F.lit("COMPLETED").alias("status"),
     )
-    return processes.close_process_logs(logs, outcomes, F.lit(NOW))
+    return processes.close_process_logs(logs, outcomes, now())
 
 
 @query(
@@ -336,9 +339,7 @@ def _is_set(column: str) -> str:
 FROM source s JOIN data_object o ON s.source_id = o.object_id LEFT JOIN source_feed f ON f.source_id = s.source_id""",
 )
 def normalised_options(spark, d):
-    from tidegate.operators.sources import source_attributes
-
-    out = stage.normalise_options(source_attributes(meta(spark, d)))
+    out = stage.normalise_options(sources.source_attributes(meta(spark, d)))
     return out.select(
         "source_id", "file_format", "schema_name", "compression_str", "date_format", "on_error", "null_if", "trim_space",
         "escape_char", "header_row_count", "add_record_id_ind", "split_filename_pattern",

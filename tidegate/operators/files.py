@@ -130,15 +130,12 @@ def party_files(meta: Meta, cr_type: str | None = "KB", names: DataFrame | None
         code = F.when(F.col("batch_name") == SUPPRESSION_BATCH, EE_OVERLAY_OUTPUT).otherwise(EE_CLIENT_OUTPUT)
     else:
         code = F.lit(KB_OUTPUT)
-    return files_of_source_in_batch(meta, current.withColumn("source_code", code))
-
-
-def files_of_source_in_batch(meta: Meta, wanted: DataFrame) -> DataFrame:
-    """Files by (batch_name, batch_id, source_code)."""
-    sources = meta.source.select(F.col("source_id").alias("object_id"), "source_code")
-    files = meta.data_file.select("file_id", "batch_id", "object_id")
-    asked = wanted.join(sources, "source_code")
-    return files.join(asked, ["batch_id", "object_id"]).select("batch_name", "source_code", "file_id", "batch_id")
+    codes = [EE_OVERLAY_OUTPUT, EE_CLIENT_OUTPUT] if cr_type == "EE" else [KB_OUTPUT]
+    outputs = meta.source.filter(F.col("source_code").isin(codes)).select(F.col("source_id").alias("object_id"), "source_code")
+    files = meta.data_file.select("file_id", "batch_id", "object_id").join(current, "batch_id")
+    return files.join(outputs, "object_id").filter(F.col("source_code") == code).select(
+        "batch_name", "source_code", "file_id", "batch_id"
+    )
 
 
 def purgeable_files(meta: Meta) -> DataFrame:

@@ -60,15 +60,18 @@ def source_attributes(meta: Meta, ids: DataFrame | None = None) -> DataFrame:
 
     Clashing names get the prefix ``object_``, ``feed_`` or ``target_``.
     """
-    out = beside(matching(meta.source, ids, "source_id"), meta.data_object, "object_", {"source_id": "object_id"})
+    return _described(matching(meta.source, ids, "source_id"), meta)
+
+
+def _described(sources: DataFrame, meta: Meta) -> DataFrame:
+    out = beside(sources, meta.data_object, "object_", {"source_id": "object_id"})
     out = beside(out, meta.source_feed, "feed_", {"source_id": "source_id"}, "left")
     return beside(out, meta.target, "target_", {"target_object_name": "target_name"}, "left")
 
 
 def source_attributes_by_code(meta: Meta, codes: DataFrame | None = None) -> DataFrame:
     """As ``source_attributes``, by source_code, with the incremental-view settings."""
-    out = source_attributes(meta)
-    out = matching(out, codes, "source_code")
+    out = _described(matching(meta.source, codes, "source_code"), meta)
     return beside(out, meta.source_view_incremental, "incremental_", {"source_id": "source_id"}, "left")
 
 

@@ -229,10 +229,15 @@ def plan_stage(meta: Meta, landing_root: str, full_options: bool = False, strict
     return files
 
 
-def _with_headers(files: DataFrame, feed: DataFrame, root: str) -> DataFrame:
-    """Add header and verdict to the files that have one; the others need no header."""
+def header_report(files: DataFrame, feed: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """Files with their header line, and the verdict on each distinct header. Every file is opened once."""
     headed = written(first_lines(files, root), "headers")
-    verdicts = check_headers(headed, feed)
+    return headed, check_headers(headed, feed)
+
+
+def _with_headers(files: DataFrame, feed: DataFrame, root: str) -> DataFrame:
+    """Add the header line, and reject files whose header does not fit."""
+    headed, verdicts = header_report(files, feed, root)
     joined = salted_join(headed, verdicts, ["source_id", "column_delimiter", "header"], ["file_id"], "left")
     mismatch = F.format_string(
         "Header mismatch: %d missing, %d extra, %d repeated column(s).", "missing_columns", "extra_columns", "repeated_columns"
