@@ -48,7 +48,11 @@ def files_in_batch(meta: Meta, keys: DataFrame | None = None) -> DataFrame:
 
 def file_attributes(meta: Meta, ids: DataFrame | None = None) -> DataFrame:
     """How to read each file: path, layout and expected rows, with missing counts as 0."""
-    f, o = files_by_id(meta, ids), meta.data_object
+    return _attributes(files_by_id(meta, ids), meta)
+
+
+def _attributes(f: DataFrame, meta: Meta) -> DataFrame:
+    o = meta.data_object
     return f.join(o, f.object_id == o.object_id).select(
         f.file_id,
         f.file_path,
@@ -68,7 +72,9 @@ def file_attributes(meta: Meta, ids: DataFrame | None = None) -> DataFrame:
 
 def file_attributes_by_name(meta: Meta, filenames: DataFrame | None = None) -> DataFrame:
     """As ``file_attributes`` for the lowest id of each file name."""
-    return file_attributes(meta, file_ids(meta, filenames).select("file_id"))
+    known = F.struct("file_id", "object_id", "file_path", "expected_row_count")
+    lowest = files_by_name(meta, filenames).groupBy("filename").agg(F.min_by(known, "file_id").alias("_file"))
+    return _attributes(lowest.select("filename", "_file.*"), meta)
 
 
 def unknown_files(meta: Meta, filenames: DataFrame) -> DataFrame:

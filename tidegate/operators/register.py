@@ -15,6 +15,7 @@ from tidegate.plans.keys import require_columns
 from tidegate.plans.ordering import next_id, number_rows
 from tidegate.plans.patterns import glob_join
 from tidegate.plans.skew import salted_join, thinned
+from tidegate.session import written
 
 REGISTERED = "REGISTERED"
 SYSTEM_USER = "system"
@@ -69,7 +70,8 @@ def new_files(meta: Meta, listing: DataFrame, root: str = "/Files") -> DataFrame
     """Landed files that fit an object and whose name is not in the registry yet."""
     known = thinned(meta.data_file.select("filename"))
     unknown = landed_files(listing, root).join(known, "filename", "left_anti")
-    return match_objects(unknown, file_objects(meta))
+    # New files are few beside the registry and are needed several times below: compare with the registry once.
+    return match_objects(written(unknown, "unknown"), file_objects(meta))
 
 
 def repeated_names(files: DataFrame) -> DataFrame:
