@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks.bindings import customers, meta, table
 from tidegate import Meta, schemas
 from tidegate.operators.register import register_files
-from tidegate.session import scratch_path, written
+from tidegate.session import path_exists, scratch_path, written
 from tidegate.sources.landing import list_files
 
 _DONE: dict[tuple[str, str, str], str] = {}
@@ -18,7 +18,7 @@ SOURCES = 6  # landing directories; each scale has at least this many sources
 
 def _once(spark: SparkSession, d: str, label: str, write) -> str:
     key = (spark.sparkContext.applicationId, d, label)
-    if key not in _DONE:
+    if key not in _DONE or not path_exists(spark, _DONE[key]):
         path = scratch_path(spark, label)
         write(path)
         _DONE[key] = path

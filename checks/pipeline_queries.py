@@ -11,7 +11,7 @@ from checks.bindings import BINDINGS, customers, meta, table
 from checks.quality_queries import CHANCE_SQL, WEIGHTS
 from checks.registry import query
 from tidegate import schemas
-from tidegate.operators import changes, processes, register, sources, stage
+from tidegate.operators import changes, models, processes, register, sources, stage
 from tidegate.plans.ordering import next_id, number_lines
 from tidegate.session import scratch_path, written
 from tidegate.sources import delimited
@@ -142,6 +142,23 @@ def typed_stage(spark, d):
     return stage.read_stage(spark, out).drop("file_id")
 
 
+@query(
+    "customers",
+    f"""SELECT customer_id, email_flag, phone_flag, synthetic_score, round(1.0 - {CHANCE_SQL}, 6) AS confidence,
+  CASE WHEN {CHANCE_SQL} > 0.3 THEN 'N' ELSE 'Y' END AS is_real_customer FROM flagged WHERE src % 3 <> 2""",
+    _SCORED_LINES,
+)
+def score_staged(spark, d):
+    """Staged rows scored afterwards, with columns named to roles and roles without a column empty."""
+    m, root = landing.registered_meta(spark, d, NOW)
+    out = scratch_path(spark, "bronze")
+    stage.stage_files(m, root, out)
+    staged = stage.read_stage(spark, out).withColumnsRenamed({"email": "mail", "phone": "contact"})
+    scored = models.score_customers(staged, WEIGHTS, {"mail": "email", "contact": "phone"})
+    shown = ["customer_id", "email_flag", "phone_flag", "synthetic_score", F.round("confidence", 6).alias("confidence")]
+    return scored.select(*shown, "is_real_customer")
+
+
 @query(
     "customers source",
     """SELECT src + 1 AS object_id, CASE WHEN src % 3 = 2 THEN 'REGISTERED' ELSE 'COMPLETED' END AS file_status,

@@ -251,3 +251,31 @@ def test_stage_schema(spark):
     stage.create_stage_table(spark, "bronze_test.stg_x", schema)
     stage.create_stage_table(spark, "bronze_test.stg_x", schema)
     assert spark.table("bronze_test.stg_x").schema == schema
+
+
+def test_labelled_customers_stay_text(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('first_name,Phone,zip_code,date_of_birth,label\nAnn,0000000000,01794,1900-01-01,0\n"B, C",5,00000,,1\n')
+    rows = {r["first_name"]: r for r in delimited.read_labelled_customers(spark, str(tmp_path / "t.csv")).collect()}
+    assert (rows["Ann"]["phone"], rows["Ann"]["zip_code"], rows["Ann"]["date_of_birth"], rows["Ann"]["label"]) == (
+        "0000000000", "01794", "1900-01-01", 0,
+    )
+    assert rows["B, C"]["label"] == 1
+
+
+def test_header_reader_travels_by_value():
+    """Executors need not have this package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from tidegate.sources import headers
+
+    captured = []
+    original, headers.F.pandas_udf = headers.F.pandas_udf, lambda f, _: captured.append(f)
+    try:
+        headers._line_reader()
+    finally:
+        headers.F.pandas_udf = original
+    code = "import sys, pickle, pandas as pd; f = pickle.loads(sys.stdin.buffer.read()); print(f(pd.Series(['file:/etc/hostname', '/none'])).isna().tolist())"
+    done = subprocess.run([sys.executable, "-I", "-c", code], input=cloudpickle.dumps(captured[0]), capture_output=True, cwd="/")
+    assert done.stdout.decode().strip() == "[False, True]", done.stderr.decode()[-500:]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegate.plans import ordering, patterns
 from tidegate.plans.keys import beside, matching
 from tidegate.plans.skew import salted_join, thinned
+from tidegate.session import path_exists, scratch_path, shared_root, written
 
 
 def like_regex(pattern):
@@ -50,10 +51,10 @@ def test_glob_join_equals_fnmatch(spark):
 
 
 def test_underscore_is_wildcard_in_like_only(spark, rows):
-    name = spark.createDataFrame([("cdtqXcustomer.csv",), ("cdtq_customer.csv",)], "name string")
-    pattern = spark.createDataFrame([("cdtq_cust%",)], "pattern string")
+    name = spark.createDataFrame([("acmeXcustomer.csv",), ("acme_customer.csv",)], "name string")
+    pattern = spark.createDataFrame([("acme_cust%",)], "pattern string")
     assert len(rows(patterns.like_join(name, "name", pattern, "pattern"))) == 2
-    assert rows(patterns.glob_join(name, "name", pattern, "pattern"), "name") == [("cdtq_customer.csv",)]
+    assert rows(patterns.glob_join(name, "name", pattern, "pattern"), "name") == [("acme_customer.csv",)]
 
 
 def test_like_join_has_no_nested_loop(spark):
@@ -140,3 +141,11 @@ def test_number_lines_over_many_splits(spark, tmp_path):
     assert len({r["b"] for r in out if r["f"] == "big.txt"}) > 5
     assert sorted((r["f"], r["n"]) for r in out) == [("big.txt", i + 1) for i in range(5000)] + [("small.txt", 1), ("small.txt", 2)]
     assert all(r["value"] == f"line {r['n'] - 1}" for r in out)
+
+
+def test_shared_folder(spark, rows):
+    assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    df = written(spark.range(5), "kept")
+    assert rows(df) == [(i,) for i in range(5)]
+    path = scratch_path(spark, "x")
+    assert path != scratch_path(spark, "x") and not path_exists(spark, path)

@@ -70,3 +70,9 @@ def qualified(spark: SparkSession, path: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target, system = _hadoop(spark, path)
     return system.exists(target)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to the shared folder. DataFrames that still read from there stop working."""
+    target, system = _hadoop(spark, f"{shared_root(spark)}/tidegate/{spark.sparkContext.applicationId}")
+    system.delete(target, True)

@@ -175,6 +175,19 @@ def skip_first_lines(rows: DataFrame, count: int) -> DataFrame:
     return body.select(*rows.columns)
 
 
+def read_labelled_customers(spark: SparkSession, path: str) -> DataFrame:
+    """Training rows from CSV with a header, columns in any order. Everything but the label is text, so that leading zeros
+    of phone numbers and ZIP codes survive.
+    """
+    text = spark.read.option("header", True).csv(path)
+    names = {c.lower(): c for c in text.columns}
+    if "label" not in names:
+        raise ValueError("training rows need a column named label")
+    return text.select(
+        *[(F.col(c).try_cast("int") if n == "label" else F.col(c)).alias(n) for n, c in names.items()]
+    )
+
+
 def cut_fixed_width(line: Column, columns: Sequence[FeedColumn], options: FeedOptions | None = None) -> list[Column]:
     """Typed columns from a line by start (from 1) and length, without outer blanks."""
     opts = options or FeedOptions()
