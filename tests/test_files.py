@@ -279,3 +279,23 @@ def test_header_reader_travels_by_value():
     code = "import sys, pickle, pandas as pd; f = pickle.loads(sys.stdin.buffer.read()); print(f(pd.Series(['file:/etc/hostname', '/none'])).isna().tolist())"
     done = subprocess.run([sys.executable, "-I", "-c", code], input=cloudpickle.dumps(captured[0]), capture_output=True, cwd="/")
     assert done.stdout.decode().strip() == "[False, True]", done.stderr.decode()[-500:]
+
+
+def test_headers_by_scan_equal_headers_by_seek(spark, tmp_path, monkeypatch):
+    from tidegate.sources import headers
+
+    land(tmp_path, "a b.csv", "\ufeffid,name\r\n1,x\r\n")
+    land(tmp_path, "big.csv", "long,header\n" + "1,2\n" * 40000)
+    land(tmp_path, "z.csv.gz", gzip.compress(b"zip,ped\n1,2\n"))
+    root = f"{tmp_path}/Files"
+    listed = list_files(spark, root).select("path")
+    files = listed.unionByName(spark.createDataFrame([(f"file:{root}/a/gone.csv",)], "path string"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        seek = {tuple(r) for r in headers.first_lines(files, root).collect()}
+        monkeypatch.setattr(headers, "qualified", lambda *_: "far://away")
+        scan = {tuple(r) for r in headers.first_lines(files, root).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seek == scan
+    assert {h for _, h in seek} == {"id,name", "long,header", "zip,ped", None}

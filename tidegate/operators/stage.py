@@ -264,7 +264,7 @@ def stage_files(
     """
     spark = meta.data_file.sparkSession
     feed = meta.source_feed_column
-    planned = plan_stage(meta, landing_root, full_options, strict)
+    planned = written(plan_stage(meta, landing_root, full_options, strict), "planned")
     usable = planned.filter("reject_reason IS NULL")
     headed = F.coalesce("header_row_count", F.lit(0)) > 0
     checked = _with_headers(usable.filter(headed), feed, landing_root)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tidegate.session import qualified
-from tidegate.sources.landing import row_path
+from tidegate.sources.landing import list_files, row_path
 
 
 def _line_reader():
@@ -42,7 +42,10 @@ def first_lines(files: DataFrame, root: str) -> DataFrame:
         # A fixed number of partitions, which adaptive execution does not merge: the files are opened side by side.
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         return files.repartition(parts, "path").withColumn("header", _line_reader()("path"))
-    paths = [r["path"] for r in files.select("path").distinct().toLocalIterator()]
+    there = files.select("path").distinct().join(list_files(spark, root).select("path"), "path", "left_semi")
+    paths = [r["path"] for r in there.toLocalIterator()]
+    if not paths:
+        return files.withColumn("header", F.lit(None).cast("string"))
     lines = spark.read.text(paths).select(
         row_path().alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
