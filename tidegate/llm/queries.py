@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import line_chunks, mixing, packing, quality_rules, simhash
+from tidegate.llm import html_text, line_chunks, mixing, packing, projection_forest, quality_rules, secrets, simhash, surrogates
 from tidegate.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +19,31 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op1_projection_forest(spark, d):
+    return projection_forest.near_duplicates(table(spark, d, "embeddings"))
+
+
+@query
+def op2_surrogates(spark, d):
+    return surrogates.replaced(table(spark, d, "documents")).select("doc_id", "text", "n_entities")
+
+
 @query
 def op3_simhash_vantage(spark, d):
     return simhash.grouped(table(spark, d, "documents"))
 
 
+@query
+def op4_page_text(spark, d):
+    return html_text.main_texts(table(spark, d, "pages"))
+
+
+@query
+def op5_secret_automaton(spark, d):
+    return secrets.secrets(table(spark, d, "documents"))
+
+
 @query
 def op6_quality_rules(spark, d):
     counts = quality_rules.judged(table(spark, d, "documents"))
