@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import html_text, line_chunks, mixing, packing, projection_forest, quality_rules, secrets, simhash, surrogates
+from tidegate.llm import html_text, line_chunks, mixing, packing, projection_forest, quality_rules, secrets, simhash, suffix_dedup, surrogates
 from tidegate.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,8 @@ def op9_line_chunks(spark, d):
     return df.select(
         "doc_id", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query
+def op10_suffix_dedup(spark, d):
+    return suffix_dedup.removed(table(spark, d, "documents"))
