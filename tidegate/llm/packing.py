@@ -9,12 +9,15 @@ it leaves.
 Null and empty texts are the closing id alone. Rows with the same doc_id are packed as documents of their own; rows that agree in
 doc_id and ids are interchangeable. A null doc_id stays null.
 
-Words are encoded once per task and kept by their text: the tokenizer never joins across a single space between two other
-characters, so the ids of a text are the ids of its parts from one such space to the next.
+The ids are those of the `tokenizers` library. Texts of Latin letters are encoded by the same vocabulary's merge ranks in
+`tiktoken`, which gives the same ids in less than a third of the time; texts with other letters, where the two might know different
+versions of Unicode, and texts with very long runs of white space go through `tokenizers` itself.
 """
 
 from __future__ import annotations
 
+import base64
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.session import written
@@ -29,49 +33,46 @@ from tidegate.session import written
 LENGTH = 2048
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 SHARD = 20_000
-CACHED = 1 << 18
-PARTS = re.compile(r"(?<=\S)(?= \S)")
+SLOW = re.compile(r"[^\x00-\u024f]|\s{256}")
 
 
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: str, ranks: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        with open(ranks, "rb") as lines:
+            known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        parts = PARTS.split(text)
-        known = self.known
-        new = list({p for p in parts if p not in known})
-        if new:
-            if len(known) > CACHED:
-                known.clear()
-                new = list(set(parts))
-            for part, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[part] = np.array(found.ids, dtype="<u4").tobytes()
-        return b"".join([known[p] for p in parts])
-
-
-def pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None) -> DataFrame:
+        if SLOW.search(text):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.quick.encode_ordinary(text)
+        return np.array(ids, dtype="<u4").tobytes()
+
+
+def pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None, ranks: str | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: the pieces of every document."""
-    path = vocabulary or public_tokenizers.path(VOCABULARY)
+    files = vocabulary or public_tokenizers.path(VOCABULARY), ranks or public_tokenizers.path(RANKS)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = Encoder(*files)
         closing = np.array([END], dtype="<u4").tobytes()
         for frame in frames:
             rows = []
             for doc, text in zip(frame["doc_id"], frame["text"]):
-                ids = (encoder.encode(text) if text else b"") + closing
+                ids = encoder.encode(text) + closing
                 n = len(ids) // 4
-                stops = [*range(n % length or length, n + 1, length)]
                 start = 0
-                for k, stop in enumerate(stops):
+                for k, stop in enumerate(range(n % length or length, n + 1, length)):
                     rows.append((doc, k, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
                     start = stop
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
