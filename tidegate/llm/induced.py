@@ -42,8 +42,8 @@ class Lists:
             for k, entry in enumerate(part):
                 if isinstance(entry[0], np.ndarray):
                     part[k] = (self.file.tell(), len(entry[0]))
-                    self.file.write(entry[0].astype(np.int64, copy=False).tobytes())
-                    self.file.write(entry[1].astype(np.uint8, copy=False).tobytes())
+                    self.file.write(entry[0].tobytes())
+                    self.file.write(entry[1].tobytes())
         self.held = 0
 
     def read(self, symbol: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,9 +53,9 @@ class Lists:
                 found.append(entry)
             else:
                 self.file.seek(entry[0])
-                found.append((np.frombuffer(self.file.read(8 * entry[1]), dtype=np.int64), np.frombuffer(self.file.read(entry[1]), dtype=np.uint8)))
+                found.append((np.frombuffer(self.file.read(4 * entry[1]), dtype=np.int32), np.frombuffer(self.file.read(entry[1]), dtype=np.uint8)))
         if not found:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint8)
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.uint8)
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
     def take(self, symbol: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +154,7 @@ def _induce(text: np.ndarray, small: np.ndarray, runs: np.ndarray, symbols: int,
             back[1:] = up_common[:0:-1]
             back[0] = cap(int(up[-1]), last) if last >= 0 else 0
             tail.scan(up[::-1], back)
-        down = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, dtype=np.int64)
+        down = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, dtype=np.int32)
         down_common = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, dtype=np.uint8)
         s_common = np.empty_like(down_common)
         if len(down):
@@ -206,18 +206,20 @@ def sorted_suffixes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     data = np.frombuffer(b"\0".join(texts) + b"\0" * (CAP + 16), dtype=np.uint8)
     n = int(lengths.sum()) + len(texts)
     start_of = np.r_[0, np.cumsum(lengths + 1)[:-1]]
-    text_of = np.repeat(np.arange(len(texts)), lengths + 1)
+    if n >= 1 << 31:
+        raise ValueError("positions are 32-bit numbers")
+    text_of = np.repeat(np.arange(len(texts), dtype=np.int32), lengths + 1)
     text = data[:n].astype(np.int16) + 1
     ends = start_of + lengths
     text[ends] = 0
-    left = ends[text_of] - np.arange(n)
+    left = (ends[text_of] - np.arange(n)).astype(np.int32)
     # The type follows from the next different symbol; separators differ from each other, a later one being larger.
     change = np.flatnonzero(np.r_[(text[1:] != text[:-1]) | (text[:-1] == 0), True])
-    run_end = np.repeat(change, np.diff(np.r_[-1, change])) + 1
+    run_end = np.repeat((change + 1).astype(np.int32), np.diff(np.r_[-1, change]))
     following = np.r_[text, [0]][run_end]
     small = following > text
     small[text == 0] = True
-    lms = np.flatnonzero(small & np.r_[False, ~small[:-1]] | (text == 0))
+    lms = np.flatnonzero(small & np.r_[False, ~small[:-1]] | (text == 0)).astype(np.int32)
     symbols = 257
     by_first = np.argsort(text[lms], kind="stable")
     bounds = np.searchsorted(text[lms][by_first], np.arange(symbols + 1))
@@ -226,7 +228,7 @@ def sorted_suffixes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     first_common[bounds[:-1][bounds[:-1] < len(lms)]] = 0
     at, common = _induce(text, small, run_end, symbols, lms[by_first], first_common, bounds)
     # The left-most S among them, named by what they share up to the next left-most S.
-    number = np.full(n, -1, dtype=np.int64)
+    number = np.full(n, -1, dtype=np.int32)
     number[lms] = np.arange(len(lms))
     is_lms = number[at] >= 0
     found = at[is_lms]

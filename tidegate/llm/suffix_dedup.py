@@ -26,7 +26,8 @@ from tidegate.llm.induced import sorted_suffixes
 
 SPAN = 50
 ANCHOR = 16
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20  # of text
+PLACE_BYTES = 2 << 20  # of text for each shard of anchors, whose fragments are at most a few times as much
 SLICE = 1 << 20
 MOST_STRINGS = 256  # of a fragment; a longer one goes on in the next
 LAST = (1 << 62) - 1  # stands for a null doc_id
@@ -120,15 +121,15 @@ def _groups(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[order[a]]), order[a:b]
 
 
-def _place(anchors: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shard of an anchor, and 32 bits that name it there."""
-    return ((anchors >> np.uint64(32)) % np.uint64(shards)).astype(np.int64), anchors.astype(np.uint32)
+def _place(anchors: np.ndarray, places: int) -> tuple[np.ndarray, np.ndarray]:
+    """The place of an anchor, and 32 bits that name it there."""
+    return ((anchors >> np.uint64(32)) % np.uint64(places)).astype(np.int64), anchors.astype(np.uint32)
 
 
-def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, place_bytes: int = PLACE_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, math.ceil(total / shard_bytes))
+    shards, places = max(1, math.ceil(total / shard_bytes)), max(1, math.ceil(total / place_bytes))
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.unhex(F.md5(text)).alias("digest"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.to_binary(text, F.lit("utf-8")).alias("data"))
     once = rows.mapInPandas(_once, "digest binary, doc long, data binary")
@@ -141,7 +142,7 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
         starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, dtype=np.int64)
         ends = np.r_[starts[1:], len(values)][: len(starts)] - 1
         many = owner[starts] != owner[ends]
-        place, name = _place(values[starts], shards)
+        place, name = _place(values[starts], places)
         found = [(p, key[0], name[i].tobytes(), many[i].tobytes()) for p, i in _groups(place)]
         return pd.DataFrame(found, columns=["place", "shard", "names", "many"])
 
@@ -164,7 +165,7 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
         _, docs_of, texts = _owned(frame)
         values, owner, start, count = fragments(texts, span, anchor)
         wanted = np.sort(np.concatenate([(np.uint64(p) << np.uint64(32)) | np.frombuffer(b, dtype=np.uint32).astype(np.uint64) for p, b in zip(known["place"], known["names"])]))
-        place, name = _place(values, shards)
+        place, name = _place(values, places)
         asked = (place.astype(np.uint64) << np.uint64(32)) | name
         hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, asked), len(wanted) - 1)] == asked)
         seen: dict[bytes, list[int]] = {}
