@@ -216,7 +216,7 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
             starts = np.flatnonzero(np.r_[True, shared[1:] < span])
             least = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.r_[starts, len(at)]))
             fragment, offset, least = fragment[whole], offset[whole], least[whole]
-            order = np.argsort(fragment * (1 << 32) + offset)
+            order = np.lexsort((offset, fragment))
             fragment, offset, least = fragment[order], offset[order], least[order]
             new = np.flatnonzero(np.r_[True, (fragment[1:] != fragment[:-1]) | (least[1:] != least[:-1])])
             to = offset[np.r_[new[1:], len(order)] - 1] + 1
