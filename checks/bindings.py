@@ -101,6 +101,8 @@ def data_file(spark, d):
         F.when(F.col("flag") != "A", F.col("quantity")).alias("expected_row_count"),
         F.col("quantity").alias("row_count"),
         F.when(F.col("status") == "F", 0).otherwise(F.col("quantity")).cast("long").alias("stg_good_record_count"),
+        F.when(F.col("flag") != "N", F.col("quantity")).alias("fm_good_record_count"),
+        F.when(F.col("flag") != "N", 0).cast("long").alias("fm_error_record_count"),
         F.concat(F.lit("/Files/src"), text("k")).alias("file_path"),
         "modified_date",
     )

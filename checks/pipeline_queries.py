@@ -162,7 +162,8 @@ def score_staged(spark, d):
 @query(
     "customers source",
     """SELECT src + 1 AS object_id, CASE WHEN src % 3 = 2 THEN 'REGISTERED' ELSE 'COMPLETED' END AS file_status,
-  CASE WHEN src % 3 = 2 THEN NULL ELSE count(*) END AS row_count, CASE WHEN src % 3 = 2 THEN NULL ELSE count(*) END AS stg_good_record_count
+  CASE WHEN src % 3 = 2 THEN NULL ELSE count(*) END AS row_count, CASE WHEN src % 3 = 2 THEN NULL ELSE count(*) END AS stg_good_record_count,
+  CASE WHEN src % 3 = 2 THEN NULL ELSE count(*) END AS fm_good_record_count, CASE WHEN src % 3 = 2 THEN NULL ELSE 0 END AS fm_error_record_count
 FROM lines GROUP BY src""",
     {"lines": _LINES},
 )
@@ -171,7 +172,7 @@ def stage_counts(spark, d):
     m, outcomes, _ = _staged(spark, d)
     registry = stage.registry_after_load(m.data_file, outcomes, now())
     return registry.groupBy("object_id", "file_status").agg(
-        F.sum("row_count").alias("row_count"), F.sum("stg_good_record_count").alias("stg_good_record_count")
+        *[F.sum(c).alias(c) for c in ("row_count", "stg_good_record_count", "fm_good_record_count", "fm_error_record_count")]
     )
 
 
@@ -180,6 +181,8 @@ def stage_counts(spark, d):
     """SELECT file_id, CASE WHEN file_status = 'REGISTERED' THEN 'COMPLETED' ELSE file_status END AS file_status,
   CASE WHEN file_status = 'REGISTERED' THEN row_count + file_id % 5 ELSE row_count END AS row_count,
   CASE WHEN file_status = 'REGISTERED' THEN row_count ELSE stg_good_record_count END AS stg_good_record_count,
+  CASE WHEN file_status = 'REGISTERED' THEN row_count + file_id % 5 ELSE fm_good_record_count END AS fm_good_record_count,
+  CASE WHEN file_status = 'REGISTERED' THEN file_id % 5 ELSE fm_error_record_count END AS fm_error_record_count,
   CASE WHEN file_status = 'REGISTERED' THEN TIMESTAMP '2002-01-30 12:00:00' ELSE modified_date END AS modified_date FROM data_file""",
 )
 def registry_after_load(spark, d):
@@ -190,7 +193,9 @@ def registry_after_load(spark, d):
         bad.alias("error_row_count"),
     )
     out = stage.registry_after_load(m.data_file, outcomes, now())
-    return out.select("file_id", "file_status", "row_count", "stg_good_record_count", "modified_date")
+    return out.select(
+        "file_id", "file_status", "row_count", "stg_good_record_count", "fm_good_record_count", "fm_error_record_count", "modified_date"
+    )
 
 
 _CHANGES = """SELECT l_orderkey*10+l_linenumber AS file_id, CASE WHEN max(l_linestatus) = 'F' THEN 'CHECKED' END AS file_status,

@@ -138,6 +138,35 @@ def test_stage_many_files(spark, tmp_path, rows):
     stage.stage_files(m, f"{tmp_path}/Files", out, MODEL)
     assert stage.read_stage(spark, out, "STG_1").count() == before
 
+    # A reload with a header only leaves no rows behind, and its count says so.
+    land(tmp_path, "cust_1.csv", f"{HEADER}\n")
+    again = stage.stage_files(m, f"{tmp_path}/Files", out, MODEL)
+    assert {r["path"].rsplit("/", 1)[1]: r["row_count"] for r in again.collect()}["cust_1.csv"] == 0
+    assert stage.read_stage(spark, out, "STG_1").count() == before - 2
+
+
+def test_plain_load_keeps_spaces_and_qualifiers(spark, tmp_path, rows):
+    feed = [("id", "BIGINT"), ("name", "VARCHAR")]
+    land(tmp_path, "cust_1.csv", "id,name\n1, \n2,\n")
+    m = received(spark, control(spark, feed=feed), tmp_path)
+    out = f"{tmp_path}/plain"
+    done = stage.stage_files(m, f"{tmp_path}/Files", out)
+    assert rows(stage.read_stage(spark, out), "id", "name") == [(1, " "), (2, None)]
+    registry = stage.registry_after_load(m.data_file, done, F.lit(NOW)).first()
+    assert (registry["row_count"], registry["fm_good_record_count"], registry["fm_error_record_count"]) == (2, 2, 0)
+
+    land(tmp_path, "cust_1.csv", "'id','name'\n'1','a,b'\n")
+    m = received(spark, control(spark, feed=feed, text_qualifier="'"), tmp_path)
+    stage.stage_files(m, f"{tmp_path}/Files", f"{tmp_path}/quoted", full_options=True)
+    assert rows(stage.read_stage(spark, f"{tmp_path}/quoted"), "id", "name") == [(1, "a,b")]
+
+
+def test_decimal_needs_a_length(spark, tmp_path):
+    land(tmp_path, "cust_1.csv", "id,name\n1,2\n")
+    m = received(spark, control(spark, feed=[("id", "BIGINT"), ("name", "DECIMAL")]), tmp_path)
+    m = m.with_tables(source_feed_column=m.source_feed_column.withColumn("max_length", F.lit(None).cast("bigint")))
+    assert "without a length" in stage.stage_files(m, f"{tmp_path}/Files", f"{tmp_path}/out").first()["reject_reason"]
+
 
 def test_gzip_file(spark, tmp_path):
     land(tmp_path, "cust_8.csv.gz", gzip.compress(f"{HEADER}\n8,z@x.org,1,,,\n".encode()))
@@ -224,8 +253,8 @@ def test_reader_options():
     assert options == delimited.FeedOptions(
         delimiter="\t", quote=None, header_rows=2, nulls=("-", "?"), trim=True, timestamp_format="yyyy", fail_on_bad=True
     )
-    assert delimited.parse_nulls("n/a") == delimited.DEFAULT_NULLS
-    assert delimited.parse_nulls("'\"\"','',' '") == delimited.DEFAULT_NULLS
+    assert delimited.parse_nulls("n/a") == ()
+    assert delimited.parse_nulls("'\"\"','',' '") == ('""', "", " ")
 
 
 def test_fail_on_bad(spark, tmp_path):

@@ -157,6 +157,8 @@ def test_fill_update(spark, rows):
     assert changes.changed_count(table, new, "id").first()[0] == 1
     with pytest.raises(ValueError):
         changes.fill_update(table, new.withColumn("q", F.lit(1)), "id")
+    with pytest.raises(Exception, match="several changes"):
+        changes.fill_update(table, new.union(new), "id").collect()
 
 
 def test_insert_by_name(spark, rows):

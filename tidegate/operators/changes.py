@@ -13,14 +13,21 @@ from tidegate.plans.keys import require_columns
 
 
 def fill_update(table: DataFrame, changes: DataFrame, key: str, stamp: dict[str, Column] | None = None) -> DataFrame:
-    """Replace values by the non-NULL ones of ``changes`` (one row per key); ``stamp`` is set on changed rows."""
+    """Replace values by the non-NULL ones of ``changes``; ``stamp`` is set on changed rows.
+
+    Two changes for one key would multiply the row, so the query fails on them.
+    """
     require_columns(changes, [key], "changes")
     stamp = stamp or {}
     new = [c for c in changes.columns if c != key]
     unknown = [c for c in [*new, *stamp] if c not in table.columns]
     if unknown:
         raise ValueError(f"the table lacks {', '.join(unknown)}")
-    side = changes.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in new])
+    single = changes.groupBy(F.col(key).alias("_key")).agg(
+        *[F.first(c).alias(f"_new_{c}") for c in new], F.count(F.lit(1)).alias("_changes")
+    )
+    repeated = F.raise_error(F.concat(F.lit(f"several changes for {key} "), F.col("_key").cast("string")))
+    side = single.withColumn("_key", F.when(F.col("_changes") > 1, repeated.cast(changes.schema[key].dataType)).otherwise(F.col("_key")))
     joined = table.join(side, F.col(key) == F.col("_key"), "left")
     hit = F.col("_key").isNotNull()
     columns = []

@@ -24,7 +24,7 @@ from tidegate.operators.register import REGISTERED
 from tidegate.operators.sources import source_attributes
 from tidegate.plans.ordering import number_lines
 from tidegate.plans.skew import salted_join
-from tidegate.session import path_exists, qualified, written
+from tidegate.session import file_names, qualified, remove_folder, written
 from tidegate.sources.delimited import BAD_RECORD, FeedColumn, feed_options, read_delimited, read_fixed_width, typed_select
 from tidegate.sources.headers import first_lines
 
@@ -127,20 +127,28 @@ def files_with_attributes(meta: Meta, files: DataFrame) -> DataFrame:
     return salted_join(rows, lookup, ["_owner"], ["file_id"], "left").drop("_owner")
 
 
-def header_names(header: Column, delimiter: Column) -> Column:
-    """Lower-case column names of a header line; a delimiter inside quotes does not count."""
-    outside = F.concat(F.lit(r"\Q"), delimiter, F.lit(r'\E(?=(?:[^"]*"[^"]*")*[^"]*$)'))
-    return F.transform(F.split(header, outside), lambda c: F.lower(F.regexp_replace(c, '^"|"$', "")))
+def header_names(header: Column, delimiter: Column, qualifier: Column | str = '"') -> Column:
+    """Lower-case column names of a header line; a delimiter between two qualifiers does not count."""
+    given = qualifier if isinstance(qualifier, Column) else F.lit(qualifier)
+    mark = F.concat(F.lit(r"\Q"), F.coalesce(blank_to_null(given), F.lit('"')), F.lit(r"\E"))
+    other = F.concat(F.lit("(?:(?!"), mark, F.lit(").)*"))
+    outside = F.concat(F.lit(r"\Q"), delimiter, F.lit(r"\E(?=(?:"), other, mark, other, mark, F.lit(")*"), other, F.lit("$)"))
+    ends = F.concat(F.lit("^"), mark, F.lit("|"), mark, F.lit("$"))
+    return F.transform(F.split(header, outside), lambda c: F.lower(F.regexp_replace(c, ends, F.lit(""))))
+
+
+HEADER_KEY = ["source_id", "column_delimiter", "text_qualifier", "header"]
 
 
 def check_headers(layouts: DataFrame, feed: DataFrame) -> DataFrame:
-    """Compare each distinct (source_id, column_delimiter, header) with the declared columns.
+    """Compare each distinct (source_id, column_delimiter, text_qualifier, header) with the declared columns.
 
     Order and case do not matter. Names are compared by a full join, so no column list has to fit into one row.
     """
-    key = ["source_id", "column_delimiter", "header"]
-    distinct = layouts.select(*key).distinct()
-    names = header_names(F.col("header"), F.col("column_delimiter"))
+    key = HEADER_KEY
+    mark = F.col("text_qualifier") if "text_qualifier" in layouts.columns else F.lit('"')
+    distinct = layouts.withColumn("text_qualifier", F.coalesce(blank_to_null(mark), F.lit('"'))).select(*key).distinct()
+    names = header_names(F.col("header"), F.col("column_delimiter"), F.col("text_qualifier"))
     found = distinct.select(*key, F.explode(names).alias("name")).groupBy(*key, "name").agg(F.count("*").alias("copies"))
     declared = feed.select("source_id", F.lower("column_name").alias("name")).distinct()
     expected = distinct.join(declared, "source_id").withColumn("expected", F.lit(True))
@@ -238,7 +246,9 @@ def header_report(files: DataFrame, feed: DataFrame, root: str) -> tuple[DataFra
 def _with_headers(files: DataFrame, feed: DataFrame, root: str) -> DataFrame:
     """Add the header line, and reject files whose header does not fit."""
     headed, verdicts = header_report(files, feed, root)
-    joined = salted_join(headed, verdicts, ["source_id", "column_delimiter", "header"], ["file_id"], "left")
+    verdicts = verdicts.withColumnRenamed("text_qualifier", "_mark")
+    marked = headed.withColumn("_mark", F.coalesce(blank_to_null(F.col("text_qualifier")), F.lit('"')))
+    joined = salted_join(marked, verdicts, ["source_id", "column_delimiter", "_mark", "header"], ["file_id"], "left")
     mismatch = F.format_string(
         "Header mismatch: %d missing, %d extra, %d repeated column(s).", "missing_columns", "extra_columns", "repeated_columns"
     )
@@ -272,7 +282,10 @@ def stage_files(
     rejected = planned.filter("reject_reason IS NOT NULL").withColumn("header", F.lit(None).cast("string"))
     every = salted_join(checked.unionByName(bare).unionByName(rejected), _spec(feed), ["source_id"], ["file_id"], "left")
     form = F.to_json(F.struct(*_LAYOUT_COLUMNS, F.lower("header").alias("header"), "spec"))
-    undeclared = F.when(F.col("spec").isNull(), F.lit("No columns are declared for this source."))
+    loose = F.exists("spec", lambda c: (c["data_type"] == "decimal") & c["max_length"].isNull())
+    undeclared = F.when(F.col("spec").isNull(), F.lit("No columns are declared for this source.")).when(
+        loose, F.lit("A decimal column is declared without a length.")
+    )
     files = written(
         every.select(
             "file_id",
@@ -286,11 +299,12 @@ def stage_files(
         "files",
     )
     failures: dict[str, str] = {}
+    before = _partitions(spark, files.filter("reject_reason IS NULL"), out)
     ready = files.filter("reject_reason IS NULL").select("path", "file_id", "stage_name", "layout")
     for row in ready.select("layout").distinct().collect():
         group = ready.filter(F.col("layout") == row["layout"]).drop("layout")
         _load(spark, group, _layout(json.loads(row["layout"])), out, model, failures)
-    return written(_outcomes(spark, files, out, failures), "outcomes")
+    return written(_outcomes(spark, files, out, failures, before), "outcomes")
 
 
 def _layout(form: dict) -> Layout:
@@ -300,7 +314,8 @@ def _layout(form: dict) -> Layout:
     ]
     names = []
     if "header" in form:
-        names = next(csv.reader([form["header"]], delimiter=form.get("column_delimiter") or ","))
+        mark = (form.get("text_qualifier") or "").strip() or '"'
+        names = next(csv.reader([form["header"]], delimiter=form.get("column_delimiter") or ",", quotechar=mark))
     return Layout(form, names or [c.name for c in columns], columns)
 
 
@@ -324,7 +339,7 @@ def _load(
             _write(_read(spark, layout, some), group, layout, out, model)
         except Exception as problem:
             if len(some) == 1:
-                failures[some[0]] = str(problem).split("\n")[0][:500]
+                failures[some[0]] = str(problem)
                 return
             middle = len(some) // 2
             run(some[:middle])
@@ -351,12 +366,34 @@ def _write(rows: DataFrame, files: DataFrame, layout: Layout, out: str, model: L
     writer.partitionBy("stage_name", "file_id").parquet(out)
 
 
-def _outcomes(spark: SparkSession, files: DataFrame, out: str, failures: dict[str, str]) -> DataFrame:
-    """Count what was written. Only the partitions of this run and the bad-row column are read."""
+def _partitions(spark: SparkSession, files: DataFrame, out: str) -> dict[str, tuple[str, set[str]]]:
+    """Per path of ``files`` its partition, if that exists, with the names of the data files in it."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    found = {}
+    for row in files.select("path", "stage_name", "file_id").toLocalIterator():
+        folder = f"{out}/stage_name={escape(row['stage_name'])}/file_id={row['file_id']}"
+        names = file_names(spark, folder)
+        if names:
+            found[row["path"]] = folder, names
+    return found
+
+
+def _outcomes(
+    spark: SparkSession, files: DataFrame, out: str, failures: dict[str, str], before: dict[str, tuple[str, set[str]]]
+) -> DataFrame:
+    """Count what this run wrote: only the partitions of its files and the bad-row column are read.
+
+    A reloaded file that has no rows any more leaves its old partition untouched by the write, so that is removed here.
+    """
     counted = "_corrupt_record string, stage_name string, file_id long"
-    low, high = files.agg(F.min("file_id"), F.max("file_id")).first()
-    if path_exists(spark, out):
-        stored = spark.read.schema(counted).parquet(out).filter(F.col("file_id").between(low, high))
+    after = _partitions(spark, files.filter("reject_reason IS NULL"), out)
+    for path, (folder, names) in before.items():
+        if path not in failures and after.get(path) == (folder, names):
+            remove_folder(spark, folder)
+            del after[path]
+    paths = [folder for path, (folder, _) in after.items() if path not in failures]
+    if paths:
+        stored = spark.read.schema(counted).option("basePath", out).parquet(*paths)
     else:
         stored = spark.createDataFrame([], counted)
     counts = stored.groupBy("file_id").agg(
@@ -379,18 +416,20 @@ def _outcomes(spark: SparkSession, files: DataFrame, out: str, failures: dict[st
 
 
 def registry_after_load(registry: DataFrame, outcomes: DataFrame, modified: Column, status: str = COMPLETED) -> DataFrame:
-    """Registry rows after the load: counts and status of loaded files, rejected ones untouched."""
+    """Registry rows after the load: counts and status of loaded files, rejected ones untouched.
+
+    The file's own counts (``fm_``) are all its rows and its errors, the stage's count is the rows that were loaded well.
+    """
     good = F.col("row_count") - F.col("error_row_count")
     done = outcomes.filter("reject_reason IS NULL").select(
         "file_id",
         F.lit(status).alias("file_status"),
         "row_count",
-        good.alias("fm_good_record_count"),
+        F.col("row_count").alias("fm_good_record_count"),
         F.col("error_row_count").alias("fm_error_record_count"),
         good.alias("stg_good_record_count"),
     )
-    have = [c for c in done.columns if c in registry.columns]
-    return fill_update(registry, done.select(*have), "file_id", {"modified_date": modified})
+    return fill_update(registry, done, "file_id", {"modified_date": modified})
 
 
 def load_history(log: DataFrame) -> DataFrame:
@@ -424,7 +463,7 @@ def stage_schema(columns: list[FeedColumn], scored: bool = True, record_id: bool
 
 
 def create_stage_table(spark: SparkSession, table: str, schema: T.StructType, provider: str = "parquet") -> None:
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {provider}")
 
 

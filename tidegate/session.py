@@ -72,6 +72,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def file_names(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the data files right in a folder; none if it does not exist."""
+    target, system = _hadoop(spark, folder)
+    if not system.exists(target):
+        return set()
+    return {n for n in (s.getPath().getName() for s in system.listStatus(target)) if not n.startswith(("_", "."))}
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    target, system = _hadoop(spark, folder)
+    system.delete(target, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application wrote to the shared folder. DataFrames that still read from there stop working."""
     target, system = _hadoop(spark, f"{shared_root(spark)}/tidegate/{spark.sparkContext.applicationId}")

@@ -15,8 +15,6 @@ from tidegate.session import written
 from tidegate.sources.landing import row_path
 
 BAD_RECORD = "_corrupt_record"
-# Texts that stand for NULL unless the feed declares its own.
-DEFAULT_NULLS = ('""', "", " ")
 
 
 @dataclass(frozen=True)
@@ -76,9 +74,9 @@ def _yes(value: object) -> bool:
 
 
 def parse_nulls(text: str | None) -> tuple[str, ...]:
-    """Texts that mean NULL, from a declared list such as ``'-','?'``."""
+    """Texts that mean NULL, from a declared list such as ``'-','?'``; without one, no text does."""
     if _text(text) is None:
-        return DEFAULT_NULLS
+        return ()
     quoted = re.findall(r"'([^']*)'", text)
     return tuple(quoted or [part.strip() for part in text.split(",")])
 
