@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import html_text, line_chunks, mixing, packing, projection_forest, quality_rules, secrets, simhash, suffix_dedup, surrogates
 from tidegate.llm.common import table
+from tidegate.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(f: Query) -> Query:
