@@ -16,7 +16,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Chunks of lines that occur earlier go; every document stays."""
-    return line_chunks.deduplicated(docs).select(*docs.columns)
+    return line_chunks.deduplicated(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,11 +24,15 @@ def has_word(text: Column) -> Column:
     return F.ltrim(text, F.lit(SPACES)) != ""
 
 
-def once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that are worked out once, however often later expressions use them."""
-    for name, column in columns.items():
-        df = df.withColumn(name, column)
-    return df
+def folded(docs: DataFrame, *used: str) -> DataFrame:
+    """The used columns, and all others folded into ``_rest``, so that no name can clash with one that an operator adds."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, (F.struct(*rest) if rest else F.lit(0)).alias("_rest"))
+
+
+def unfolded(df: DataFrame, columns: list[str], used: tuple[str, ...], **new: Column) -> list[Column]:
+    """The columns that ``folded`` was given, in their order; ``new`` replaces used ones."""
+    return [(new[c] if c in new else df[c] if c in used else F.col(f"_rest.`{c}`")).alias(c) for c in columns]
 
 
 def local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:

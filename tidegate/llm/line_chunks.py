@@ -6,14 +6,14 @@ is removed; the first occurrence stays.
 
 Texts are cut at line feeds; null and empty texts are one empty line and lose nothing. Chunks without a word stay. Rows with the
 same doc_id and text count as one document and lose the same chunks; a null doc_id comes after all others, and such documents
-keep what has no earlier occurrence. Other columns pass through untouched.
+keep what has no earlier occurrence. Other columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.llm.common import has_word
+from tidegate.llm.common import folded, has_word, unfolded
 from tidegate.session import written
 
 WINDOW = 3
@@ -67,9 +67,11 @@ def repeats(df: DataFrame) -> DataFrame:
     return later.groupBy("doc").agg(F.collect_set(F.concat_ws(":", "at", "hash")).alias("gone"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """All rows of ``docs`` without repeated chunks in their text, with n_chunks, n_removed_chunks and n_removed_lines."""
-    df = chunked(docs)
+USED = ("doc_id", "text")
+
+
+def _deduplicated(docs: DataFrame) -> DataFrame:
+    df = chunked(folded(docs, *USED))
     gone = written(repeats(df), "repeats").withColumnRenamed("doc", "_d")
     df = df.join(gone, _doc(df) == F.col("_d"), "left")
     keys = F.transform("_chunks", lambda x, i: F.concat_ws(":", i, F.md5(x)))
@@ -77,10 +79,23 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     df = df.withColumn("_stay", F.transform("_stay", lambda x: F.substring_index(x, ":", 1).cast("int")))
     same = F.size("_stay") == F.size("_chunks")
     text = F.when(same, F.col("text")).otherwise(F.array_join(F.transform("_stay", lambda i: F.get("_chunks", i)), "\n"))
+    return df.withColumn("_kept", text)
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """All rows of ``docs`` without repeated chunks in their text."""
+    df = _deduplicated(docs)
+    return df.select(*unfolded(df, docs.columns, USED, text=F.col("_kept")))
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, the text that stays, n_chunks, n_removed_chunks and n_removed_lines."""
+    df = _deduplicated(docs)
     total = F.aggregate("_sizes", F.lit(0).cast("long"), lambda a, x: a + x)
     left = F.aggregate("_stay", F.lit(0).cast("long"), lambda a, i: a + F.get("_sizes", i))
     return df.select(
-        *[(text if c == "text" else df[c]).alias(c) for c in docs.columns],
+        "doc_id",
+        F.col("_kept").alias("text"),
         F.size("_chunks").cast("long").alias("n_chunks"),
         (F.size("_chunks") - F.size("_stay")).cast("long").alias("n_removed_chunks"),
         (total - left).alias("n_removed_lines"),

@@ -6,14 +6,15 @@ sizes; no target exceeds ``MAX_EPOCHS`` times its source's size, and what is abo
 A source is repeated as often as its target holds it whole; the rest is cut from its documents in the order of a hash of the
 doc_id, and the document on the border is cut too, so that every source gives its target to the word (rounded down). Runs
 agree, because nothing but the rows decides. Rows with the same doc_id (and those where it is null) are ordered by a hash of
-their text; rows that agree in both are interchangeable. Null and empty texts have size 0 and take nothing.
+their text; rows that agree in both are interchangeable. Null and empty texts have size 0 and take nothing. Other
+columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidegate.llm.common import SPACES, words
+from tidegate.llm.common import SPACES, folded, unfolded, words
 from tidegate.plans.ordering import running_totals
 from tidegate.session import written
 
@@ -75,13 +76,15 @@ def first_words(text: Column, n: Column) -> Column:
 
 def drawn(docs: DataFrame) -> DataFrame:
     """The mix itself, in the columns of ``docs``: a row for each time a document is taken, the one on the border cut short."""
-    row = F.xxhash64(*docs.columns)
-    taken = mixed(docs.withColumn("_row", row), "_row").where("taken > 0")
-    taken = taken.select(F.col("_row").alias("_r"), F.col("doc_id").alias("_d"), "size", "taken")
-    kept = docs.withColumn("_row", row).dropDuplicates(["doc_id", "_row"])
-    df = kept.join(taken, (F.col("_row") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_d")))
-    epochs = F.expr("CAST(taken DIV size AS INT)")
-    copies = F.concat(F.array_repeat(F.col("size"), epochs), F.when(F.col("taken") % F.col("size") > 0, F.array(F.col("taken") % F.col("size"))).otherwise(F.array().cast("array<bigint>")))
-    df = df.withColumn("_take", F.explode(copies))
+    used = ("doc_id", "source", "text")
+    rows = folded(docs, *used).withColumn("_row", F.xxhash64(*used, F.to_json(F.struct("_rest"))))
+    taken = mixed(rows, "_row").where("taken > 0").groupBy("doc_id", "_row", "size", "taken").agg(F.count(F.lit(1)).alias("_same"))
+    taken = taken.select(F.col("_row").alias("_r"), F.col("doc_id").alias("_d"), "size", "taken", "_same")
+    df = rows.dropDuplicates(["doc_id", "_row"]).join(taken, (F.col("_row") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_d")))
+    part = F.col("taken") % F.col("size")
+    cut = F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>"))
+    df = df.withColumn("_take", F.explode(F.concat(F.array_repeat(F.col("size"), F.expr("CAST(taken DIV size AS INT)")), cut)))
+    df = df.withColumn("_again", F.explode(F.expr("sequence(1L, _same)")))  # rows that are alike
     whole = F.col("_take") == F.col("size")
-    return df.withColumn("text", F.when(whole, F.col("text")).otherwise(first_words(F.col("text"), F.col("_take").cast("int")))).select(*docs.columns)
+    text = F.when(whole, F.col("text")).otherwise(first_words(F.col("text"), F.col("_take").cast("int")))
+    return df.select(*unfolded(df, docs.columns, used, text=text))

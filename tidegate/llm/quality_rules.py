@@ -5,14 +5,15 @@ a document don't make its lines common: they are left to the near-duplicate stag
 than ``LIMIT_SHARE`` of the host's distinct texts and in more than ``LIMIT_TEXTS`` of them.
 
 Lines are compared in lower case with runs of white space as one space, by a 64-bit hash. Null and empty texts have no words
-and fail the base rules. Repeated rows are judged alike. Other columns pass through untouched.
+and fail the base rules. Repeated rows are judged alike. Other columns pass through
+untouched, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.llm.common import has_word, words
+from tidegate.llm.common import folded, has_word, unfolded, words
 from tidegate.session import written
 
 LIMIT_SHARE = 0.05
@@ -71,15 +72,13 @@ def _repeated() -> Column:
     return F.expr(f"CASE WHEN size(array_distinct(_triples)) = size(_triples) THEN 0L ELSE transform({positions}, q -> {covered})[0] END")
 
 
-def judged(docs: DataFrame, share: float = LIMIT_SHARE, texts: int = LIMIT_TEXTS) -> DataFrame:
-    """Add the counts, ``n_common_words`` (words in lines over the limit), ``base_failed`` and ``kept``.
+USED = ("doc_id", "source", "text")
 
-    A document is kept if it passes the base rules and, without its common lines, still has ``MIN_WORDS`` words and
-    ``MIN_LEFT_PERCENT`` of those it had.
-    """
-    spark_common = written(common_lines(docs, share, texts), "common_lines")
-    lists = spark_common.select(F.col("host").alias("_host"), F.col("common").alias("_common"))
-    df = with_counts(docs).join(lists, F.col("source").eqNullSafe(F.col("_host")), "left").drop("_host")
+
+def _judged(docs: DataFrame, share: float, texts: int) -> DataFrame:
+    lists = written(common_lines(docs, share, texts), "common_lines")
+    lists = lists.select(F.col("host").alias("_host"), F.col("common").alias("_common"))
+    df = with_counts(folded(docs, *USED)).join(lists, F.col("source").eqNullSafe(F.col("_host")), "left").drop("_host")
     lost = F.filter("_lines", lambda x: F.array_contains("_common", F.xxhash64(normalised(x))))
     lost = F.aggregate(lost, F.lit(0).cast("long"), lambda a, x: a + F.size(words(x)))
     df = df.withColumn("n_common_words", F.when(F.col("_common").isNull(), F.lit(0).cast("long")).otherwise(lost))
@@ -89,11 +88,20 @@ def judged(docs: DataFrame, share: float = LIMIT_SHARE, texts: int = LIMIT_TEXTS
     return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted).drop("_words", "_triples", "_lines")
 
 
+def judged(docs: DataFrame, share: float = LIMIT_SHARE, texts: int = LIMIT_TEXTS) -> DataFrame:
+    """Per row: doc_id, the counts, ``n_common_words`` (words in lines over the limit), ``base_failed`` and ``kept``.
+
+    A document is kept if it passes the base rules and, without its common lines, still has ``MIN_WORDS`` words and
+    ``MIN_LEFT_PERCENT`` of those it had.
+    """
+    return _judged(docs, share, texts).drop("source", "text", "_rest", "_common")
+
+
 def filtered(docs: DataFrame, share: float = LIMIT_SHARE, texts: int = LIMIT_TEXTS) -> DataFrame:
     """The kept documents without their common lines, in the columns of ``docs``."""
     # A number per row, which the filter reads, keeps the optimizer from moving the filter below the counts: merged into them,
     # their arrays would be worked out anew for every word.
-    df = judged(docs, share, texts).withColumn("_row", F.monotonically_increasing_id()).where("kept AND _row >= 0")
+    df = _judged(docs, share, texts).withColumn("_row", F.monotonically_increasing_id()).where("kept AND _row >= 0")
     left = F.filter(_lines(F.col("text")), lambda x: ~(has_word(x) & F.array_contains("_common", F.xxhash64(normalised(x)))))
     cleaned = F.when(F.col("n_common_words") > 0, F.array_join(left, "\n")).otherwise(F.col("text"))
-    return df.withColumn("text", cleaned).select(*docs.columns)
+    return df.select(*unfolded(df, docs.columns, USED, text=cleaned))

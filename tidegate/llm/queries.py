@@ -46,10 +46,7 @@ def op5_secret_automaton(spark, d):
 
 @query
 def op6_quality_rules(spark, d):
-    counts = quality_rules.judged(table(spark, d, "documents"))
-    return counts.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_common_words"
-    )
+    return quality_rules.judged(table(spark, d, "documents"))
 
 
 @query
@@ -64,7 +61,7 @@ def op8_best_two_fit(spark, d):
 
 @query
 def op9_line_chunks(spark, d):
-    df = line_chunks.deduplicated(table(spark, d, "documents"))
+    df = line_chunks.report(table(spark, d, "documents"))
     return df.select(
         "doc_id", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )

@@ -9,7 +9,8 @@ leaves are compared in blocks, and only one edge per row leaves a block.
 
 Text is lower-cased in A-Z; words are runs without white space; shingles of three words keep their repeats. Fewer words make a
 single shingle; null, empty and blank texts have fingerprint zero, linked like any other. Rows with a null doc_id are in a group
-through their text; a group with no doc_id at all has a null id. Equal fingerprints are one node of the tree.
+through their text; a group with no doc_id at all has a null id. Equal fingerprints are one node of the tree. Other columns
+pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.llm.common import components, local_roots
+from tidegate.llm.common import components, folded, local_roots, unfolded
 from tidegate.session import written
 
 SHINGLE = 3
@@ -146,10 +147,15 @@ def links(placed: DataFrame, bits: int = MAX_BITS, leaf: int = LEAF) -> DataFram
     return as_home.union(as_query).groupBy("node", "h", "q").applyInPandas(compare, "a long, b long")
 
 
+def _row_hash() -> Column:
+    """Of a row with its other columns folded."""
+    return F.xxhash64("doc_id", "text", F.to_json(F.struct("_rest")))
+
+
 def _classes(docs: DataFrame, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """Rows with their fingerprint and a hash of the row; and per fingerprint the one that stands for its group."""
-    row = F.xxhash64(*docs.columns)
-    prints = written(with_fingerprints(docs.select("doc_id", "text", row.alias("row")), shingle), "fingerprints")
+    rows = folded(docs, "doc_id", "text").select("doc_id", "text", _row_hash().alias("row"))
+    prints = written(with_fingerprints(rows, shingle), "fingerprints")
     nodes = written(prints.select("fp").distinct(), "nodes")
     roots = components(links(leaves(nodes, bits), bits), "a", "b")
     of = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"))
@@ -173,6 +179,8 @@ def first_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS)
     least = prints.groupBy("fp").agg(F.min(key).alias("key")).join(of, F.col("fp") == F.col("_fp"))
     stay = least.groupBy("root").agg(F.min("key").alias("key"))
     stay = written(stay.select(F.coalesce("key.doc_id", F.lit(-1)).alias("_d"), F.col("key.row").alias("_r")), "stay")
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("_row", F.xxhash64(*docs.columns))
+    marked = folded(docs, "doc_id", "text").withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)))
+    marked = marked.withColumn("_row", _row_hash())
     kept = marked.join(stay, (F.col("_id") == F.col("_d")) & (F.col("_row") == F.col("_r")))
-    return kept.dropDuplicates(["_id", "_row"]).select(*docs.columns)
+    kept = kept.dropDuplicates(["_id", "_row"])
+    return kept.select(*unfolded(kept, docs.columns, ("doc_id", "text")))

@@ -10,13 +10,15 @@ Stand-ins are checked over the whole corpus: if two entities of a type have the
 but the first entity are keyed anew, until no clash is left.
 
 Null and empty texts stay as they are. Rows are changed independently, so repeated rows come out alike; rows with the same
-doc_id may have different texts. Other columns pass through.
+doc_id may have different texts. Other columns pass through, but for one called
+n_entities, which is replaced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegate.llm.common import folded, unfolded
 from tidegate.session import written
 
 KEY = "tidegate"
@@ -168,7 +170,7 @@ def clashes(docs: DataFrame, key: str) -> DataFrame:
 def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     """All rows of ``docs`` with their entities replaced in ``text``, and ``n_entities``."""
     again = written(clashes(docs, key), "attempts")
-    df = docs.withColumn("_found", F.coalesce(_found(F.col("text")), F.array().cast("array<string>")))
+    df = folded(docs, "doc_id", "text").withColumn("_found", F.coalesce(_found(F.col("text")), F.array().cast("array<string>")))
     if again.isEmpty():
         df = df.withColumn("_again", F.lit(None).cast("map<string,int>"))
     else:
@@ -191,4 +193,5 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     both = F.transform(between, lambda s, i: F.concat(s, F.coalesce(F.get("_new", i), F.lit(""))))
     df = df.withColumn("_new", F.transform("_found", new))
     text = F.when(F.size("_found") == 0, F.col("text")).otherwise(F.array_join(both, ""))
-    return df.select(*[(text if c == "text" else df[c]).alias(c) for c in docs.columns], F.size("_found").cast("long").alias("n_entities"))
+    kept = [c for c in docs.columns if c != "n_entities"]
+    return df.select(*unfolded(df, kept, ("doc_id", "text"), text=text), F.size("_found").cast("long").alias("n_entities"))
