@@ -459,10 +459,10 @@ def receiver_by_id(spark, d):
 
 @query(
     "extract_config",
-    "SELECT * FROM extract_config WHERE extract_name IN (SELECT p_name FROM part WHERE p_retailprice > 950)",
+    "SELECT * FROM extract_config WHERE extract_name IN (SELECT p_name FROM part WHERE p_retailprice > 915)",
 )
 def extract_by_name(spark, d):
-    dear = table(spark, d, "part").filter("p_retailprice > 950")
+    dear = table(spark, d, "part").filter("p_retailprice > 915")
     return parties.extracts_by_name(meta(spark, d), dear.select(F.col("p_name").alias("extract_name")))
 
 

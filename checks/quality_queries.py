@@ -11,6 +11,7 @@ from tidegate.functions import rules
 from tidegate.operators import evaluate, models
 from tidegate.session import scratch_path
 
+# The indicator texts below must equal those of ``tidegate.functions.rules``.
 FLAG_SQL = """SELECT *, email_flag + phone_flag + name_flag + dob_flag + address_flag + zip_flag + company_flag AS synthetic_score
 FROM (SELECT *,
   CASE WHEN regexp_matches(lower(email), '(test|admin|null|spamtrap|example|private|none|xyz)') THEN 1 ELSE 0 END AS email_flag,
@@ -198,8 +199,8 @@ def lr_evaluate(spark, d):
 
 @query()
 def hybrid_train_score(spark, d):
-    _, tested = models.train_hybrid_model(customers(spark, d), ["customer_id"], *_valid_lists(spark, d))
-    return tested.select("customer_id", "hybrid_score", "is_real_customer", "confidence", "real_customer_score")
+    _, scored = models.train_hybrid_model(customers(spark, d), ["customer_id"], *_valid_lists(spark, d))
+    return scored.select("customer_id", "hybrid_score", "is_real_customer", "confidence", "real_customer_score")
 
 
 @query()
@@ -279,3 +280,57 @@ def toxic_text_classifier(spark, d):
     )
     _, predictions = models.fit_usage_classifier(models.assemble(numeric, ["size", "words", "quality"]), "is_test_user")
     return predictions.groupBy("is_test_user", "prediction").agg(F.count("*").alias("row_count"))
+
+
+# What must hold for any fitted model: its numbers differ from run to run of the optimizer, these don't.
+
+
+@query("customers", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS differing FROM customers")
+def loaded_model_differences(spark, d):
+    """Customers whose score by the saved and loaded model is another than by the fitted one."""
+    people = customers(spark, d)
+    model, _ = models.train_customer_model(people, ["customer_id"])
+    path = scratch_path(spark, "model")
+    models.save_model(model, path)
+    fitted, loaded = (models.LinearScore.of(m) for m in (model, models.load_model(path)))
+    both = rules.with_flags(people).select(fitted.probability().alias("a"), loaded.probability().alias("b"))
+    return both.agg(F.count("*").alias("row_count"), F.count_if(F.col("a") != F.col("b")).alias("differing"))
+
+
+@query("customers", "SELECT customer_id, TRUE AS fits FROM customers")
+def hybrid_scores_fit(spark, d):
+    """All customers have a score that follows from their confidence, and the mark that follows from the threshold."""
+    _, scored = models.train_hybrid_model(customers(spark, d), ["customer_id"], *_valid_lists(spark, d))
+    mark = F.when(F.col("probability") > models.HYBRID_THRESHOLD, "Y").otherwise("N")
+    fits = (F.col("is_real_customer") == mark) & F.col("confidence").between(0, 1) & (F.abs(F.col("real_customer_score") - 10 * F.col("confidence")) < 0.051)
+    return scored.select("customer_id", fits.alias("fits"))
+
+
+@query("", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS misplaced FROM embeddings")
+def clusters_nearest(spark, d):
+    """Rows that are not in the cluster of their nearest centre, or whose anomaly score is another than that distance."""
+    featured = models.assemble(_points(spark, d), ["embedding"])
+    model = models.fit_clusters(featured)
+    scored = models.anomaly_scores(model.transform(featured), model.clusterCenters()).withColumnRenamed("anomaly_score", "own")
+    nearest = models.nearest_center(scored.drop("cluster"), F.col("embedding").cast("array<double>"), model.clusterCenters())
+    return nearest.agg(F.count("*").alias("row_count"), F.count_if(F.abs(F.col("own") - F.col("anomaly_score")) > 1e-9).alias("misplaced"))
+
+
+@query("", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS differing FROM embeddings")
+def stored_vectors_differ(spark, d):
+    """Stored rows whose probabilities don't add up to 1, or whose features are no embedding of the table."""
+    stored = vector_storage(spark, d)
+    known = table(spark, d, "embeddings").select(F.col("embedding").cast("array<double>").alias("known")).distinct()
+    odd = F.abs(F.aggregate("probability", F.lit(0.0), lambda a, x: a + x) - 1) > 1e-9
+    joined = stored.join(known, F.col("features") == F.col("known"), "left")
+    return joined.agg(F.count("*").alias("row_count"), F.count_if(odd | F.col("known").isNull()).alias("differing"))
+
+
+@query("", "SELECT TRUE AS balanced")
+def fitted_mean(spark, d):
+    """Without a penalty the mean probability over the training rows equals their mean label."""
+    flagged = rules.with_flags(customers(spark, d)).withColumn("label", rules.binary_label(F.col("label")))
+    train, _ = models.split_rows(flagged, ["customer_id"])
+    fitted = models.LinearScore.of(models.fit_classifier(train, "label"))
+    gap = F.abs(F.avg(fitted.probability()) - F.avg(F.col("label").cast("double")))
+    return train.agg((gap < 0.001).alias("balanced"))

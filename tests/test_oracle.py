@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks.compare import difference
+from checks.compare import difference, oracle_rows
 
 SMALL = entry.SMALL
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -12,6 +12,7 @@ QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     assert difference(QUERIES[name](spark, SMALL), SMALL, ORACLES[name]) is None
+    assert oracle_rows(SMALL, ORACLES[name])[1], "a check without rows shows nothing"
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))

@@ -57,10 +57,8 @@ def fit_classifier(
     kept = flagged.groupBy(*features, F.col(label).cast("double").alias("_label")).agg(
         F.count("*").cast("double").alias("_weight")
     )
-    kept = kept.persist()
+    counted = kept.persist()
     try:
-        # A few hundred rows for 0/1 flags; one partition then, so that an iteration costs one short task.
-        counted = kept.coalesce(1 + kept.count() // 100_000)
         if counted.select("_label").distinct().count() < 2:
             raise ValueError("training rows need both label values")
         pipeline = Pipeline(
@@ -78,7 +76,7 @@ def fit_classifier(
         )
         return pipeline.fit(counted)
     finally:
-        kept.unpersist()
+        counted.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -166,12 +164,12 @@ def train_hybrid_model(
     mapping: Mapping[str, str] | None = None,
     **fit_options,
 ) -> tuple[PipelineModel, DataFrame]:
-    """As ``train_customer_model`` with validity flags; here class 1 is the real customer."""
+    """A model fitted on the training share with validity flags, and all rows scored; here class 1 is the real customer."""
     flagged = with_valid_flags(with_flags(customers, mapping), valid_names, valid_zips, mapping)
     flagged = flagged.withColumn("label", binary_label(F.col("label"), "real"))
-    train, test = split_rows(flagged, keys)
+    train, _ = split_rows(flagged, keys)
     model = fit_classifier(train, "label", HYBRID_FEATURES, HYBRID_THRESHOLD, **fit_options)
-    return model, rate(test, model, "real")
+    return model, rate(flagged, model, "real")
 
 
 def with_display_texts(scored: DataFrame) -> DataFrame:
