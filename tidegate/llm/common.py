@@ -56,8 +56,8 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
 
     Alternates two steps until nothing changes: link all larger neighbours of a node to its smallest neighbour, then link all
     smaller neighbours and the node itself to the smallest of them. Both are a minimum per node, combined before the shuffle,
-    and a join that adaptive execution may split, so a node with very many neighbours is no single task's work. Each round is
-    written to the shared folder; only a count and a checksum come to the driver.
+    and a join with those minima, which are written first so that adaptive execution may split it: a node with very many neighbours
+    is no single task's work. Each round is written to the shared folder; only a count and a checksum come to the driver.
     """
     a, b = F.col(left), F.col(right)
     current = written(edges.where(a != b).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
@@ -65,9 +65,10 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     while state[0]:
         both = current.union(current.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = both.groupBy("hi").agg(F.min("lo").alias("m")).select(F.col("hi").alias("n"), F.least("hi", "m").alias("m"))
+        least = written(least, "least")
         large = both.join(least, F.col("hi") == F.col("n")).where(F.col("lo") > F.col("hi")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         large = written(large.distinct(), "large")
-        first = large.groupBy("hi").agg(F.min("lo").alias("m")).select(F.col("hi").alias("n"), "m")
+        first = written(large.groupBy("hi").agg(F.min("lo").alias("m")).select(F.col("hi").alias("n"), "m"), "first")
         small = large.join(first, F.col("hi") == F.col("n")).where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         current = written(small.union(first.select(F.col("n").alias("hi"), F.col("m").alias("lo"))).distinct(), "edges")
         before, state = state, _state(current)
