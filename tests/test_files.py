@@ -161,6 +161,13 @@ def test_plain_load_keeps_spaces_and_qualifiers(spark, tmp_path, rows):
     assert rows(stage.read_stage(spark, f"{tmp_path}/quoted"), "id", "name") == [(1, "a,b")]
 
 
+def test_header_in_another_encoding(spark, tmp_path, rows):
+    land(tmp_path, "cust_1.csv", "größe,name\n1,é\n".encode("iso-8859-1"))
+    m = received(spark, control(spark, feed=[("größe", "BIGINT"), ("name", "VARCHAR")], file_encoding="ISO-8859-1"), tmp_path)
+    stage.stage_files(m, f"{tmp_path}/Files", f"{tmp_path}/out", full_options=True)
+    assert rows(stage.read_stage(spark, f"{tmp_path}/out"), "größe", "name") == [(1, "é")]
+
+
 def test_decimal_needs_a_length(spark, tmp_path):
     land(tmp_path, "cust_1.csv", "id,name\n1,2\n")
     m = received(spark, control(spark, feed=[("id", "BIGINT"), ("name", "DECIMAL")]), tmp_path)
@@ -305,7 +312,7 @@ def test_header_reader_travels_by_value():
         headers._line_reader()
     finally:
         headers.F.pandas_udf = original
-    code = "import sys, pickle, pandas as pd; f = pickle.loads(sys.stdin.buffer.read()); print(f(pd.Series(['file:/etc/hostname', '/none'])).isna().tolist())"
+    code = "import sys, pickle, pandas as pd; f = pickle.loads(sys.stdin.buffer.read()); print(f(pd.Series(['file:/etc/hostname', '/none']), pd.Series(['UTF-8', 'UTF-8'])).isna().tolist())"
     done = subprocess.run([sys.executable, "-I", "-c", code], input=cloudpickle.dumps(captured[0]), capture_output=True, cwd="/")
     assert done.stdout.decode().strip() == "[False, True]", done.stderr.decode()[-500:]
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,6 +29,7 @@ from tidegate.session import file_names, qualified, remove_folder, written
 from tidegate.sources.delimited import BAD_RECORD, FeedColumn, feed_options, read_delimited, read_fixed_width, typed_select
 from tidegate.sources.headers import first_lines
 
+LAYOUTS_AT_ONCE = 4
 COMPLETED = "COMPLETED"
 ERROR = "ERROR"
 SCORE = "real_customer_score"
@@ -301,9 +303,13 @@ def stage_files(
     failures: dict[str, str] = {}
     before = _partitions(spark, files.filter("reject_reason IS NULL"), out)
     ready = files.filter("reject_reason IS NULL").select("path", "file_id", "stage_name", "layout")
-    for row in ready.select("layout").distinct().collect():
-        group = ready.filter(F.col("layout") == row["layout"]).drop("layout")
-        _load(spark, group, _layout(json.loads(row["layout"])), out, model, failures)
+
+    def load(form: str) -> None:
+        group = ready.filter(F.col("layout") == form).drop("layout")
+        _load(spark, group, _layout(json.loads(form)), out, model, failures)
+
+    with ThreadPoolExecutor(LAYOUTS_AT_ONCE) as pool:  # jobs of different layouts fill the cluster together
+        list(pool.map(load, [r["layout"] for r in ready.select("layout").distinct().collect()]))
     return written(_outcomes(spark, files, out, failures, before), "outcomes")
 
 

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.text import blank_to_null
 from tidegate.session import qualified
 from tidegate.sources.landing import list_files, row_path
 
@@ -13,20 +14,25 @@ from tidegate.sources.landing import list_files, row_path
 def _line_reader():
     """Reads the first line of files on mounted storage. Built here so that it travels to executors by value."""
 
-    def first_line(paths: pd.Series) -> pd.Series:
+    def first_line(paths: pd.Series, encodings: pd.Series) -> pd.Series:
+        import codecs
+
         from pyarrow import fs
 
-        def read(path):
+        def read(path, encoding):
+            if path is None:
+                return None
             try:
+                decoder = codecs.getincrementaldecoder(encoding)("replace")
                 with fs.LocalFileSystem().open_input_stream(path.removeprefix("file:")) as stream:
-                    seen = b""
-                    while b"\n" not in seen and (more := stream.read(65536)):
-                        seen += more
-            except OSError:
+                    seen = ""
+                    while "\n" not in seen and (more := stream.read(65536)):
+                        seen += decoder.decode(more)
+            except (OSError, LookupError):
                 return None
-            return seen.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r")
+            return seen.split("\n", 1)[0].removeprefix("\ufeff").rstrip("\r")
 
-        return paths.map(read, na_action="ignore")
+        return pd.Series([read(p, e) for p, e in zip(paths, encodings)], dtype=object)
 
     return F.pandas_udf(first_line, T.StringType())
 
@@ -34,14 +40,16 @@ def _line_reader():
 def first_lines(files: DataFrame, root: str) -> DataFrame:
     """Add ``header``, the first line of each ``path`` below ``root``; NULL if a file cannot be read.
 
-    On mounted storage only the start of each file is read. Other storage is scanned by Spark's text reader, which keeps one
+    A column ``file_encoding`` says how to read it, UTF-8 without one; other storage is read as UTF-8. On mounted storage only the start of each file is read. Other storage is scanned by Spark's text reader, which keeps one
     line per file before its shuffle.
     """
     spark = files.sparkSession
     if qualified(spark, root).startswith("file:/"):
         # A fixed number of partitions, which adaptive execution does not merge: the files are opened side by side.
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return files.repartition(parts, "path").withColumn("header", _line_reader()("path"))
+        declared = blank_to_null(F.col("file_encoding")) if "file_encoding" in files.columns else F.lit(None).cast("string")
+        encoding = F.coalesce(declared, F.lit("UTF-8"))
+        return files.repartition(parts, "path").withColumn("header", _line_reader()("path", encoding))
     there = files.select("path").distinct().join(list_files(spark, root).select("path"), "path", "left_semi")
     paths = [r["path"] for r in there.toLocalIterator()]
     if not paths:
