@@ -1,4 +1,4 @@
-"""Extensions: what the control tables declare about a target, over the given tables."""
+"""What the control tables declare about a target, and sources and tables that no other query goes through."""
 
 from __future__ import annotations
 
@@ -6,11 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from checks.bindings import meta, table
+from checks.bindings import customers, meta, table
 from checks.registry import query
+from tidegate import schemas
 from tidegate.operators import declared, stage
 from tidegate.session import scratch_path
-from tidegate.sources.delimited import FeedColumn
+from tidegate.sources.delimited import FeedColumn, read_labelled_customers
+from tidegate.sources.reference_lists import read_json_list
 
 
 @query(
@@ -95,3 +97,43 @@ def best_ranked_source(spark, d):
     ranks = rows.select("o_orderpriority").distinct().filter("o_orderpriority < '4'")
     ranks = ranks.select("o_orderpriority", F.left("o_orderpriority", F.lit(1)).cast("int").alias("rank"))
     return declared.best_source(rows, ["o_custkey"], "o_orderpriority", ranks, "o_orderkey")
+
+
+@query("customers", "SELECT * FROM customers")
+def labelled_rows(spark, d):
+    """Training rows written as CSV and read back: text as it was, the label as a number."""
+    path = scratch_path(spark, "labelled")
+    customers(spark, d).write.option("header", True).csv(path)
+    rows = read_labelled_customers(spark, path)
+    return rows.withColumn("customer_id", F.col("customer_id").cast("long"))
+
+
+@query("", "SELECT DISTINCT p_brand AS name FROM part")
+def json_value_list(spark, d):
+    """A list of valid values from a file with one JSON array."""
+    path = scratch_path(spark, "values")
+    names = table(spark, d, "part").agg(F.to_json(F.collect_set("p_brand")).alias("value"))
+    names.write.text(path)
+    return read_json_list(spark, path, "name")
+
+
+@query("", "SELECT o_orderkey AS \"order key\", o_orderdate, o_totalprice FROM orders")
+def created_stage_table(spark, d):
+    """A stage table made from declared columns, filled and read back by name."""
+    columns = [FeedColumn("order key", "BIGINT"), FeedColumn("o_orderdate", "TIMESTAMP"), FeedColumn("o_totalprice", "DOUBLE")]
+    name = "stage_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    stage.create_stage_table(spark, name, stage.stage_schema(columns, scored=False))
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("order key"), "o_orderdate", "o_totalprice")
+    rows.write.insertInto(name)
+    return spark.table(name)
+
+
+@query("data_file", "SELECT 'data_file' AS table_name, count(*) AS row_count FROM data_file")
+def catalog_row_counts(spark, d):
+    """Control tables made in the catalog, one filled, listed and counted; the empty ones are left out."""
+    database = "meta_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    schemas.create_tables(spark, database)
+    rows = schemas.conform(meta(spark, d).data_file, spark.table(f"{database}.data_file").schema)
+    rows.write.insertInto(f"{database}.data_file")
+    counts = schemas.table_counts({n: spark.table(f"{database}.{n}") for n in schemas.list_tables(spark, database)})
+    return counts.filter("row_count > 0")
