@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidegate.llm.common import folded, has_word, unfolded, words
 from tidegate.session import written
 
-LIMIT_SHARE = 0.05
+LIMIT_SHARE = 0.1
 LIMIT_TEXTS = 20
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
