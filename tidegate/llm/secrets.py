@@ -228,7 +228,7 @@ def scan(machine: Automaton, data: bytes, lane: int = LANE) -> tuple[np.ndarray,
     return which * lane + step, states[step, which]
 
 
-def _lines(data: bytes, machine: Automaton, rules: int) -> Iterator[tuple[int, int, int]]:
+def _lines(data: bytes, machine: Automaton) -> Iterator[tuple[int, int, int]]:
     """``start, end, bits`` of the lines of ``data`` in which rules end a match."""
     at, state = scan(machine, data)
     if not len(at):
@@ -250,7 +250,7 @@ def found_in(texts: list[str | None], machine: Automaton, rules: tuple[Rule, ...
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     patterns = [re.compile(r.pattern) for r in rules]
     last, chars_at, bytes_at = -1, 0, 0
-    for start, end, bits in _lines(data, machine, len(rules)):
+    for start, end, bits in _lines(data, machine):
         doc = int(np.searchsorted(begins, start, side="right")) - 1
         if doc != last:
             last, chars_at, bytes_at = doc, 0, int(begins[doc])
