@@ -345,3 +345,20 @@ def test_pipeline(spark, docs, rows_in, empty, tmp_path):
             out.write.parquet(f"{tmp_path}/{start is empty}/{k}")
             now = spark.read.parquet(f"{tmp_path}/{start is empty}/{k}")
         assert (now.count() > 0) == (start is docs)
+
+
+def test_license_line_goes_and_near_copies_stay(spark):
+    rnd = random.Random(11)
+    license_line = "This page may be used under the terms of the public license"
+    copied = [prose(12, rnd).replace("\n", " ") for _ in range(12)]
+    texts = [prose(90, rnd).replace("\n", " ") + ("\n" + license_line if k % 12 == 0 else "") for k in range(360)]
+    near = ["\n".join([*copied[:j], f"edited {j}", *copied[j + 1 :]]) for j in range(12)] + ["\n".join([*copied, f"added {j}"]) for j in range(28)]
+    rows = [(k, t, "h") for k, t in enumerate(texts + near)] + [(400, near[12], "h"), (None, near[13], "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = {r["doc_id"]: r["text"] for r in quality_rules.filtered(docs).collect()}
+    # 30 of 400 distinct texts have the license line, 40 are near copies: both are more than 5 %, and not more than 10 %.
+    assert all(license_line not in t for t in kept.values()) and set(range(360)) <= set(kept)
+    # Each edited copy has a set of common lines of its own, the others share one, of which the smallest doc_id stays.
+    assert {d: t for d, t in kept.items() if d is None or d >= 360} == {360 + j: near[j] for j in range(13)}
+    flags = {(r["doc_id"], r["kept"]) for r in quality_rules.judged(docs).collect()}
+    assert {d for d, k in flags if k} == set(kept)
