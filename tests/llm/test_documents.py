@@ -362,3 +362,13 @@ def test_license_line_goes_and_near_copies_stay(spark):
     assert {d: t for d, t in kept.items() if d is None or d >= 360} == {360 + j: near[j] for j in range(13)}
     flags = {(r["doc_id"], r["kept"]) for r in quality_rules.judged(docs).collect()}
     assert {d for d, k in flags if k} == set(kept)
+
+
+def test_repeats_of_rows_with_one_doc_id_are_bounded_by_a_text(spark):
+    rnd = random.Random(5)
+    passage = [prose(9, rnd).replace("\n", " ") for _ in range(30)]
+    texts = ["\n".join([prose(9, rnd).replace("\n", " "), *passage, prose(9, rnd).replace("\n", " ")] * (1 + k % 3)) for k in range(40)]
+    docs = spark.createDataFrame([(1, "\n".join(passage))] + [(None if k % 2 else 7, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    most = max(r["n_chunks"] for r in line_chunks.report(docs).collect())
+    gone = line_chunks.repeats(line_chunks.chunked(docs)).collect()
+    assert len(gone) == len(texts) and max(len(r["gone"]) for r in gone) <= most

@@ -43,9 +43,9 @@ def _doc(df: DataFrame) -> Column:
 
 def _each(df: DataFrame) -> DataFrame:
     """One row per multi-line chunk: its document, place, hash and bytes."""
-    parts = df.select(_doc(df).alias("doc"), F.posexplode(F.arrays_zip("_chunks", "_sizes")).alias("at", "part"))
+    parts = df.select(_doc(df).alias("doc"), F.xxhash64("text").alias("row"), F.posexplode(F.arrays_zip("_chunks", "_sizes")).alias("at", "part"))
     parts = parts.where((F.col("part._sizes") >= MIN_LINES) & has_word(F.col("part._chunks")))
-    return parts.select("doc", "at", F.md5("part._chunks").alias("hash"), F.col("part._chunks").alias("bytes"))
+    return parts.select("doc", "row", "at", F.md5("part._chunks").alias("hash"), F.col("part._chunks").alias("bytes"))
 
 
 def _place(doc: str, at: str) -> Column:
@@ -53,7 +53,9 @@ def _place(doc: str, at: str) -> Column:
 
 
 def repeats(df: DataFrame) -> DataFrame:
-    """``doc, gone``: per document the keys ``place:hash`` of the chunks that occur earlier.
+    """``doc, row, gone``: per doc_id and hash of the text the keys ``place:hash`` of the chunks that occur earlier.
+
+    The hash of the text bounds a group by the chunks of one text, however many rows share a doc_id or have none.
 
     Grouping compares the bytes themselves, and a map-side minimum shrinks copies before the shuffle. A hash under which two
     different texts were found (none is known for this hash) removes nothing.
@@ -62,9 +64,9 @@ def repeats(df: DataFrame) -> DataFrame:
     texts = each.groupBy("hash", "bytes").agg(F.min(_place("doc", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = texts.groupBy("hash").agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
     firsts = written(firsts.where("n > 1 AND texts = 1").select(F.col("hash").alias("h"), "first"), "chunks")
-    places = each.select("doc", "at", "hash").join(firsts, F.col("hash") == F.col("h"))
+    places = each.select("doc", "row", "at", "hash").join(firsts, F.col("hash") == F.col("h"))
     later = places.where(_place("doc", "at") > F.col("first"))
-    return later.groupBy("doc").agg(F.collect_set(F.concat_ws(":", "at", "hash")).alias("gone"))
+    return later.groupBy("doc", "row").agg(F.collect_set(F.concat_ws(":", "at", "hash")).alias("gone"))
 
 
 USED = ("doc_id", "text")
@@ -72,8 +74,8 @@ USED = ("doc_id", "text")
 
 def _deduplicated(docs: DataFrame) -> DataFrame:
     df = chunked(folded(docs, *USED))
-    gone = written(repeats(df), "repeats").withColumnRenamed("doc", "_d")
-    df = df.join(gone, _doc(df) == F.col("_d"), "left")
+    gone = written(repeats(df), "repeats").withColumnsRenamed({"doc": "_d", "row": "_r"})
+    df = df.join(gone, (_doc(df) == F.col("_d")) & (F.xxhash64("text") == F.col("_r")), "left")
     keys = F.transform("_chunks", lambda x, i: F.concat_ws(":", i, F.md5(x)))
     df = df.withColumn("_stay", F.array_except(keys, F.coalesce("gone", F.array().cast("array<string>"))))
     df = df.withColumn("_stay", F.transform("_stay", lambda x: F.substring_index(x, ":", 1).cast("int")))
