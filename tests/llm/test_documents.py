@@ -372,3 +372,14 @@ def test_repeats_of_rows_with_one_doc_id_are_bounded_by_a_text(spark):
     most = max(r["n_chunks"] for r in line_chunks.report(docs).collect())
     gone = line_chunks.repeats(line_chunks.chunked(docs)).collect()
     assert len(gone) == len(texts) and max(len(r["gone"]) for r in gone) <= most
+
+
+def test_short_repeated_runs_are_removed(spark):
+    rnd = random.Random(9)
+    line = lambda: prose(9, rnd).replace("\n", " ")
+    runs = [[line() for _ in range(rnd.randint(3, 6))] for _ in range(100)]
+    texts = ["\n".join([line(), line(), *run, line(), line()]) for run in runs * 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    removed = {r["doc_id"]: r["n_removed_lines"] for r in line_chunks.report(docs).collect()}
+    assert not any(removed[k] for k in range(100))
+    assert sum(removed.values()) > 0.3 * sum(map(len, runs))

@@ -1,7 +1,8 @@
 """Line dedup by content-defined chunks.
 
 A rolling hash over the hashes of the last ``WINDOW`` lines says after which lines a chunk ends, so an inserted or missing line
-moves boundaries only near itself. A chunk of two lines or more whose bytes also occur earlier, in order of doc_id and place,
+moves boundaries only near itself. Documents have few lines, so the window is a single line and every second line ends a chunk in
+the mean: a shared passage has the same boundaries from its first line on. A chunk of two lines or more whose bytes also occur earlier, in order of doc_id and place,
 is removed; the first occurrence stays.
 
 Texts are cut at line feeds; null and empty texts are one empty line and lose nothing. Chunks without a word stay. Rows with the
@@ -16,8 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidegate.llm.common import folded, has_word, unfolded
 from tidegate.session import written
 
-WINDOW = 3
-DIVISOR = 4
+WINDOW = 1
+DIVISOR = 2
 FACTOR = 1_000_003
 MODULUS = 2_147_483_647
 MIN_LINES = 2
