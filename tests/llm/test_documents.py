@@ -383,3 +383,19 @@ def test_short_repeated_runs_are_removed(spark):
     removed = {r["doc_id"]: r["n_removed_lines"] for r in line_chunks.report(docs).collect()}
     assert not any(removed[k] for k in range(100))
     assert sum(removed.values()) > 0.3 * sum(map(len, runs))
+
+
+def test_adjacent_entities(spark):
+    phone, card, account = "+1 (826) 555-4081", "9807915762804490", "LU280019400644750000"
+    after = ["190.137.223.204", "123-45-6789", "212-555-0101", "(212) 555-0101", "+44 20 7946 0958", "4111 1111 1111 1111", "a@b.org"]
+    cases = [[first, second] for first in (phone, "+44 20 7946 0958", card, "4111 1111 1111 1111", account) for second in after]
+    cases = [c for c in cases if c[0] != account or c[1][0] != "4"]
+    whole = [phone, "+18265554081", "+1.826.555.4081", "+49 30 12.34.56.78", "+44 20 7946 0958", card, "4111-1111-1111-1111", "4111 1111 1111 1111 123", "DE89 3704 0044 0532 0130 00", account]
+    texts = [" ".join(c) for c in cases] + [f"{phone} 190 apples", f"{card} 190 apples"] + whole
+    expected = cases + [[phone], [card]] + [[w] for w in whole]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r[0]: r[1] for r in docs.select("doc_id", surrogates._found(docs["text"])).collect()}
+    assert [found[k] for k in range(len(texts))] == expected
+    out = {r["doc_id"]: r["text"] for r in surrogates.replaced(docs).collect()}
+    assert out[0].startswith(out[len(cases)].removesuffix(" 190 apples") + " ")  # the same phone has the same stand-in
+    assert all(second not in out[k] for k, (_, second) in enumerate(cases))

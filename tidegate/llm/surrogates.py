@@ -26,14 +26,31 @@ MALE = "Mr|Herr|Monsieur|Señor|Sr|Sig|Don|Господин"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Doña|Госпожа"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 NAME = r"\p{Lu}[\p{L}’'-]*+"
+IP = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\d|\.\d)"
+LOCAL_PHONE = r"(?<!\w)(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-.]\d{4}(?!\w)"
+SSN = r"(?<!\w)\d{3}-\d{2}-\d{4}(?!\w)"
+# Phones and cards in groups of digits end where an entity with a form of its own begins; that alternative comes first. Without
+# one, a phone has 15 digits at most, eleven after +1 if they end there, and a card written in one piece ends with it.
+NEXT = f"{IP}|{SSN}|{LOCAL_PHONE}"
+NUMBER = r"\d(?:[ -]?\d){12,18}(?!\w)"
+GROUPS = r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
+DIGIT = r"(?:(?:[ .-]?(?<=\+[\d .-]{1,4})\((?=\d{1,4}\))|\)[ .-]?|[ .-](?=\d\d))?\d)"
+PHONE = (
+    rf"(?<![\w+]){GROUPS}(?<=\+[ .()\d-]{{9,40}})(?=[ .-](?:{NEXT}|{NUMBER}))",
+    rf"(?<![\w+])(?={GROUPS})\+(?:1{DIGIT}{{10}}|\d{DIGIT}{{4,14}})(?!\w)",
+)
+CARD = (
+    rf"(?<!\w)\d(?:[ -]?\d){{12,18}}(?=[ -](?:{NEXT}))",
+    r"(?<!\w)\d(?:(?:(?<!\d{13})[ -])?\d){12,18}(?!\w)",
+)
 PATTERNS = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\d|\.\d)",
-    r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)",
-    r"(?<!\w)(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-.]\d{4}(?!\w)",
-    r"(?<!\w)\d{3}-\d{2}-\d{4}(?!\w)",
-    r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)",
-    r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    IP,
+    *PHONE,
+    LOCAL_PHONE,
+    SSN,
+    *CARD,
+    rf"(?<!\w)[A-Z]{{2}}\d{{2}}(?: ?(?!{NEXT})[A-Z0-9]{{4}}){{3,7}}(?:(?: (?!{NEXT}))?[A-Z0-9]{{1,3}})?(?!\w)",
     rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? {NAME}(?: {NAME}){{0,2}}",
 )
 ENTITY = "|".join(PATTERNS)
