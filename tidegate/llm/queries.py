@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import html_text, line_chunks, mixing, packing, projection_forest, quality_rules, secrets, simhash, suffix_dedup, surrogates
+from tidegate.llm import html_text, line_chunks, mixing, packing, projection_forest, quality_rules, secrets, simhash, suffix_dedup, surrogates, warc
 from tidegate.llm.common import table
 from tidegate.llm.oracles import ORACLES
 
@@ -70,3 +70,8 @@ def op9_line_chunks(spark, d):
 @query
 def op10_suffix_dedup(spark, d):
     return suffix_dedup.removed(table(spark, d, "documents"))
+
+
+@query
+def op11_warc(spark, d):
+    return warc.round_trip(table(spark, d, "pages"))
