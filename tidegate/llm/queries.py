@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import html_text, line_chunks, mixing, packing, projection_forest, quality_rules, secrets, simhash, suffix_dedup, surrogates, warc
+from tidegate.llm import html_text, line_chunks, mixing, packing, periodic_runs, projection_forest, quality_rules, secrets, simhash, suffix_dedup, surrogates, token_alignment, warc
 from tidegate.llm.common import table
 from tidegate.llm.oracles import ORACLES
 
@@ -75,3 +75,13 @@ def op10_suffix_dedup(spark, d):
 @query
 def op11_warc(spark, d):
     return warc.round_trip(table(spark, d, "pages"))
+
+
+@query
+def op12_periodic_runs(spark, d):
+    return periodic_runs.periodic_runs(table(spark, d, "documents"), changed=periodic_runs.planted)
+
+
+@query
+def op13_token_alignment(spark, d):
+    return token_alignment.alignment(table(spark, d, "documents"))
