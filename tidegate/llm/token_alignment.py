@@ -40,6 +40,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 ROWS = 512  # documents that are passed on together
+BYTES = 1 << 20  # about the text that is encoded together
+LATIN = 0x24F  # up to here both encoders of A know the same letters
 
 
 def byte_letters() -> dict[str, int]:
@@ -87,19 +89,26 @@ class Aligner:
         import sentencepiece
 
         self.encoder = Encoder(vocabulary, ranks)
+        self.spaces = re.compile(r"\s{256}")
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.a, self.b = Side(level_tokens(vocabulary)), Side(piece_tokens(self.pieces))
         self.most = max(len(self.a.tokens), len(self.b.tokens))
         # How an id is spelled before another id of its list, at the end of A's part, and at the end of a group.
         self.spelled = [f"{i}{mark}" for mark in ",|;" for i in range(self.most)]
 
-    def align(self, text: str | None) -> tuple[list[int], list[int], np.ndarray, np.ndarray] | None:
+    def ids_a(self, text: str) -> list[int]:
+        """By the quick encoder where it gives the same ids: see ``packing``."""
+        latin = text.isascii() or np.frombuffer(text.encode("utf-32-le"), dtype="<u4").max() <= LATIN
+        if latin and not self.spaces.search(text):
+            return self.encoder.quick.encode_ordinary(text)
+        return self.encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def align(self, text: str | None, ids_b: list[int]) -> tuple[list[int], list[int], np.ndarray, np.ndarray] | None:
         """Ids of A and of B, and for each group the number of the token that closes it, in A and in B."""
         if not text:
             return None
         whole = (" " + text).encode()
-        ids_a = np.frombuffer(self.encoder.encode(" " + text), dtype="<u4").tolist()
-        ids_b = self.pieces.encode(text)
+        ids_a = self.ids_a(" " + text)
         ends_a, ends_b = self.a.ends(ids_a, whole), self.b.ends(ids_b, whole)
         if ends_a is None or ends_b is None:
             return None
@@ -111,17 +120,27 @@ class Aligner:
         """``a1,a2|b1;a3|b2,b3``: the slices of both lists, in order."""
         n, m = len(ids_a), len(ids_b)
         signs = np.empty(n + m, dtype=np.int64)
-        group_a = np.searchsorted(last_a, np.arange(n))  # the group of each token
-        group_b = np.searchsorted(last_b, np.arange(m))
-        before_a = np.concatenate(([0], last_b + 1))  # tokens of B in earlier groups
-        place_a = np.arange(n) + before_a[group_a]
-        place_b = np.arange(m) + last_a[group_b] + 1
-        mark_a, mark_b = np.zeros(n, dtype=np.int64), np.zeros(m, dtype=np.int64)
-        mark_a[last_a], mark_b[last_b] = 1, 2
-        signs[place_a] = np.array(ids_a) + self.most * mark_a
-        signs[place_b] = np.array(ids_b) + self.most * mark_b
+        # A token stands behind all tokens of its list, and behind the other list's tokens of earlier groups, or of its own too.
+        place_a = np.arange(n) + np.repeat(np.concatenate(([0], last_b[:-1] + 1)), np.diff(last_a, prepend=-1))
+        place_b = np.arange(m) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
+        signs[place_a], signs[place_b] = ids_a, ids_b
+        signs[place_a[last_a]] += self.most
+        signs[place_b[last_b]] += 2 * self.most
         return "".join(map(self.spelled.__getitem__, signs.tolist()))[:-1]
 
+    def alignments(self, texts: list[str | None]) -> Iterator[tuple | None]:
+        """``align`` for texts, some of which are encoded together."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size < BYTES:
+                size += len(texts[end] or "")
+                end += 1
+            some = texts[at:end]
+            for text, ids_b in zip(some, self.pieces.encode([t or "" for t in some], num_threads=1)):
+                yield self.align(text, ids_b)
+            at = end
+
 
 def files(vocabulary: str | None = None, ranks: str | None = None, pieces: str | None = None) -> tuple[str, str, str]:
     path = public_tokenizers.path
@@ -145,8 +164,7 @@ def aligned(docs: DataFrame, named: tuple[str, str, str], keep_groups: bool = Tr
         names = ["doc_id", "n_a", "n_b", "n_groups", "groups", "groups_sha256", "pairs", "times"]
         none = (0, 0, 0, "", "", np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
 
-        def row(text: str | None) -> tuple:
-            found = aligner.align(text)
+        def row(found: tuple | None) -> tuple:
             if found is None:
                 return none
             ids_a, ids_b, last_a, last_b = found
@@ -158,8 +176,8 @@ def aligned(docs: DataFrame, named: tuple[str, str, str], keep_groups: bool = Tr
         for frame in frames:
             for at in range(0, len(frame), ROWS):
                 some = frame.iloc[at : at + ROWS]
-                out = pd.DataFrame([(doc, *row(text)) for doc, text in zip(some["doc_id"], some["text"])], columns=names)
-                yield out
+                found = aligner.alignments(some["text"].tolist())
+                yield pd.DataFrame([(doc, *row(each)) for doc, each in zip(some["doc_id"], found)], columns=names)
 
     texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # pandas has no whole numbers with nulls
     schema = "doc_id string, n_a long, n_b long, n_groups long, groups string, groups_sha256 string, pairs array<long>, times array<long>"
