@@ -1,11 +1,15 @@
 """SimHash near-duplicates: 64-bit fingerprints, linked at ``MAX_BITS`` or fewer differing bits, found with vantage-point trees.
 
-Each node of the tree holds fingerprints of a region. A round picks ``VANTAGES`` of them by hash, measures the Hamming distance
-of all others to each, and cuts at the median distances, so a node falls into up to 2**VANTAGES cells. Every fingerprint has one
-home cell. By the triangle inequality two fingerprints within ``MAX_BITS`` can only be in different cells if both lie within
-``MAX_BITS`` of the cut; the one in the later cell then also visits the other's cell as a guest. So every close pair meets in
-the home leaf of one of the two, and the pairs found are exact. Regions that no cut would thin out stay leaves of any size;
-leaves are compared in blocks, and only one edge per row leaves a block.
+The 64 bits are parted into ``MAX_BITS + 1`` blocks, and each block has a tree. A node of the tree picks ``VANTAGES`` of its fingerprints by hash,
+measures the Hamming distance of all others to each within the block, and cuts at the median distances, so it falls into up to
+2**VANTAGES cells. Two fingerprints that differ in ``MAX_BITS`` bits or fewer agree in one of the blocks. There their distance is
+zero, so by the triangle inequality they have the same distance to every vantage point and no cut of that tree parts them: the
+overlap that a query needs beyond a cut has width zero, every other branch is pruned, and each fingerprint is in just one leaf of
+a tree. So every close pair meets in a leaf, and the pairs found, compared by all 64 bits, are exact.
+
+A node of more than ``LEAF`` fingerprints that all agree in the block cannot be cut any further. Its fingerprints go into trees of their own over the
+blocks of the bits that are left (16, then 12, 9, 6 bits and so on), in the same way. After six steps 12 bits are left, in which
+there are no more than 4096 different fingerprints. So no leaf is larger than that, whatever the texts, and nothing is compared beyond its leaf.
 
 Text is lower-cased in A-Z; words are runs without white space; shingles of three words keep their repeats. Fewer words make a
 single shingle; null, empty and blank texts have fingerprint zero, linked like any other. Rows with a null doc_id are in a group
@@ -16,6 +20,7 @@ pass through untouched, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,6 +35,7 @@ MAX_BITS = 3
 VANTAGES = 3
 LEAF = 4096
 BLOCK = 256
+LEAF_ROW, INNER, EQUAL = 0, 1, 2
 SEED = 42
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 AT_ONCE = 1 << 15  # shingles whose bits are counted together
@@ -66,85 +72,91 @@ def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(*[F.col(c).cast("long") for c in rest], "text").mapInPandas(prints, schema)
 
 
+def _forest(rows: DataFrame, width: int, parts: int) -> DataFrame:
+    """A tree for each of ``parts`` blocks of the ``width`` bits in ``rest``: the block becomes ``key``, the other bits stay in ``rest``."""
+    size, trees = width // parts, []
+    for t in range(parts):
+        at = t * size
+        wide = size if t < parts - 1 else width - at
+        key = F.shiftrightunsigned("rest", at).bitwiseAND(F.lit((1 << wide) - 1 if wide < 64 else -1))
+        below = F.col("rest").bitwiseAND(F.lit((1 << at) - 1))
+        above = F.lit(0).cast("long") if at + wide >= width else F.shiftleft(F.shiftrightunsigned("rest", at + wide), at)
+        trees.append(F.struct(F.xxhash64("node", F.lit(t)).alias("node"), key.alias("key"), above.bitwiseOR(below).alias("rest")))
+    return rows.select("fp", F.explode(F.array(*trees)).alias("t")).select("t.node", "fp", "t.key", "t.rest")
+
+
 def _distance(vantage: str) -> Column:
-    return F.bit_count(F.col("fp").bitwiseXOR(F.col(vantage)))
-
-
-def _cuts(rows: DataFrame, bits: int, leaf: int) -> DataFrame:
-    """``node, v0.., m0..`` for the nodes to split: vantage points and median distances, null where a cut wouldn't thin out."""
-    homes = rows.where("home")
-    picks = [F.min_by("fp", F.xxhash64("fp", F.lit(i))).alias(f"v{i}") for i in range(VANTAGES)]
-    large = homes.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *picks).where(F.col("n") > leaf).drop("n")
-    away = homes.join(large.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"))
-    spread = [F.percentile_approx(_distance(f"v{i}"), [0.1, 0.5, 0.9], 200).alias(f"p{i}") for i in range(VANTAGES)]
-    firsts = [F.first(f"v{i}").alias(f"v{i}") for i in range(VANTAGES)]
-    nodes = away.groupBy("node").agg(*firsts, *spread)
-    for i in range(VANTAGES):
-        p = F.col(f"p{i}")
-        nodes = nodes.withColumn(f"m{i}", F.when((p[2] > p[1] + bits) & (p[0] <= p[1] - bits), p[1]))
-    nodes = nodes.where(F.coalesce(*[f"m{i}" for i in range(VANTAGES)]).isNotNull())
-    return nodes.select(F.col("node").alias("_n"), *[c for i in range(VANTAGES) for c in (f"v{i}", f"m{i}")])
+    return F.bit_count(F.col("key").bitwiseXOR(F.col(vantage)))
+
+
+def _nodes(rows: DataFrame, leaf: int) -> DataFrame:
+    """``_n, equal, v0.., m0..`` for nodes of more than ``leaf`` rows: vantage points and where their distances are cut.
+
+    A vantage point is a block of the node, so the distances to it start at zero; the cut is their median, or below the largest
+    distance, so that both sides have rows. A node all of whose blocks are equal has no cuts.
+    """
+    picks = [F.min_by("key", F.xxhash64("fp", F.lit(i))).alias(f"v{i}") for i in range(VANTAGES)]
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), (F.min("key") == F.max("key")).alias("equal"), *picks)
+    large = written(sizes.where(F.col("n") > leaf).drop("n").withColumnRenamed("node", "_n"), "large")
+    away = rows.join(large.where("NOT equal"), F.col("node") == F.col("_n"))
+    cuts = [F.least(F.percentile_approx(_distance(f"v{i}"), 0.5, 200), F.max(_distance(f"v{i}")) - 1).alias(f"m{i}") for i in range(VANTAGES)]
+    cut = away.groupBy("node").agg(*cuts)
+    return written(large.join(cut, F.col("_n") == F.col("node"), "left").drop("node"), "nodes")
 
 
-def _children(rows: DataFrame, bits: int) -> DataFrame:
-    """Rows that carry the cut of their node, sent to their home cell and to the cells they visit as guests."""
-    home = F.lit(0)
+def _placed(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """All rows with what becomes of them: LEAF_ROW, INNER (in the cell of their node that holds them) or EQUAL."""
+    cell = F.lit(0)
     for i in range(VANTAGES):
-        rows = rows.withColumn(f"d{i}", _distance(f"v{i}"))
-        home = home + F.when(F.col(f"d{i}") > F.col(f"m{i}"), 1 << i).otherwise(0)
-    rows = rows.withColumn("cell", home)
-    visits = []
-    for cell in range(1 << VANTAGES):
-        near = F.lit(True)
-        for i in range(VANTAGES):
-            beyond = F.coalesce(F.col(f"d{i}") > F.col(f"m{i}") - bits, F.lit(False))
-            near = near & (beyond if cell >> i & 1 else F.coalesce(F.col(f"d{i}") <= F.col(f"m{i}") + bits, F.lit(True)))
-        wanted = (F.col("home") & (F.col("cell") == cell)) | (near & (~F.col("home") | (F.col("cell") > cell)))
-        visits.append(F.when(wanted, F.lit(cell)))
-    rows = rows.withColumn("to", F.explode(F.array_compact(F.array(*visits))))
-    node = F.xxhash64("node", "to")
-    return rows.select(node.alias("node"), "fp", (F.col("home") & (F.col("cell") == F.col("to"))).alias("home"))
+        cell = cell + F.when(_distance(f"v{i}") > F.col(f"m{i}"), 1 << i).otherwise(0)
+    state = F.when(F.col("_n").isNull(), LEAF_ROW).when(F.col("equal"), EQUAL).otherwise(INNER)
+    node = F.when(state == INNER, F.xxhash64("node", cell)).otherwise(F.col("node"))
+    return rows.join(nodes, F.col("node") == F.col("_n"), "left").select(node.alias("node"), "fp", "key", "rest", state.alias("state"))
 
 
 def leaves(prints: DataFrame, bits: int = MAX_BITS, leaf: int = LEAF) -> DataFrame:
-    """``node, fp, home`` for distinct fingerprints: the leaves of the tree with their homes and guests."""
-    rows = written(prints.select(F.lit(0).cast("long").alias("node"), "fp", F.lit(True).alias("home")), "vantage")
-    done = None
-    while True:
-        cuts = written(_cuts(rows, bits, leaf), "cuts")
-        if cuts.isEmpty():
-            return rows if done is None else done.union(rows)
-        ended = rows.join(cuts.select("_n"), F.col("node") == F.col("_n"), "left_anti")
-        done = ended if done is None else done.union(ended)
-        rows = written(_children(rows.join(cuts, F.col("node") == F.col("_n")), bits), "vantage")
-
-
-def links(placed: DataFrame, bits: int = MAX_BITS, leaf: int = LEAF) -> DataFrame:
-    """``a, b``: edges that connect all fingerprints within ``bits`` of each other; at most one per row of a block."""
-    counts = placed.groupBy("node").agg(F.sum(F.col("home").cast("int")).alias("homes"), F.count(F.lit(1)).alias("all"))
-    counts = counts.where("homes > 0").select(F.col("node").alias("_n"), F.ceil(F.col("homes") / leaf).cast("int").alias("hs"), F.ceil(F.col("all") / (2 * leaf)).cast("int").alias("qs"))
-    rows = placed.join(counts, F.col("node") == F.col("_n"))
-    mine_h = F.pmod(F.xxhash64("fp", F.lit("home")), F.col("hs")).cast("int")
-    mine_q = F.pmod(F.xxhash64("fp", F.lit("query")), F.col("qs")).cast("int")
-    as_home = rows.where("home").select("node", mine_h.alias("h"), F.explode(F.expr("sequence(0, qs - 1)")).alias("q"), "fp", F.lit(True).alias("home"))
-    as_query = rows.select("node", F.explode(F.expr("sequence(0, hs - 1)")).alias("h"), mine_q.alias("q"), "fp", F.lit(False).alias("home"))
+    """``node, fp`` for distinct fingerprints: the leaves of all trees. Fingerprints within ``bits`` share a leaf of one tree or more."""
+    parts, width = bits + 1, 64
+    rest = prints.select(F.lit(0).cast("long").alias("node"), "fp", F.col("fp").alias("rest"))
+    done = []
+    while rest is not None:
+        rows, equal = written(_forest(rest, width, parts), "vantage"), []
+        while True:
+            nodes = _nodes(rows, leaf)
+            if nodes.isEmpty():
+                break
+            placed = written(_placed(rows, nodes), "vantage")
+            done.append(placed.where(F.col("state") == LEAF_ROW))
+            equal.append(placed.where(F.col("state") == EQUAL))
+            rows = placed.where(F.col("state") == INNER).drop("state")
+        done.append(rows)
+        width -= width // parts
+        rest = reduce(DataFrame.unionByName, equal) if equal else None
+        if rest is not None and width < parts:  # a handful of bits: no more fingerprints than they have values
+            done.append(rest)
+            rest = None
+        if rest is not None and rest.isEmpty():
+            rest = None
+    return reduce(DataFrame.unionByName, [d.select("node", "fp") for d in done])
+
+
+def links(placed: DataFrame, bits: int = MAX_BITS, at_once: int = BLOCK) -> DataFrame:
+    """``a, b``: edges that connect all fingerprints within ``bits`` of each other; at most one per row of a leaf."""
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        fps = frame["fp"].to_numpy().view(np.uint64)
-        homes, asks = np.unique(fps[frame["home"].to_numpy()]), np.unique(fps[~frame["home"].to_numpy()])
-        nodes = np.unique(np.concatenate((homes, asks)).view(np.int64))
-        at_h, at_q = np.searchsorted(nodes, homes.view(np.int64)), np.searchsorted(nodes, asks.view(np.int64))
+        nodes = np.unique(frame["fp"].to_numpy())
+        fps = nodes.view(np.uint64)
         roots = np.arange(len(nodes))
-        for at in range(0, len(asks), BLOCK):
-            i, j = np.nonzero(np.bitwise_count(asks[at : at + BLOCK, None] ^ homes[None, :]) <= bits)
-            i, j = at_q[at + i], at_h[j]
-            apart = roots[i] != roots[j]
+        for at in range(0, len(nodes), at_once):
+            i, j = np.nonzero(np.bitwise_count(fps[at : at + at_once, None] ^ fps[None, at:]) <= bits)
+            apart = roots[at + i] != roots[at + j]
             if apart.any():
-                roots = local_roots(len(nodes), np.concatenate((np.arange(len(nodes)), i[apart])), np.concatenate((roots, j[apart])))
+                left, right = np.concatenate((np.arange(len(nodes)), at + i[apart])), np.concatenate((roots, at + j[apart]))
+                roots = local_roots(len(nodes), left, right)
         off = np.flatnonzero(roots != np.arange(len(nodes)))
         return pd.DataFrame({"a": nodes[off], "b": nodes[roots[off]]})
 
-    return as_home.union(as_query).groupBy("node", "h", "q").applyInPandas(compare, "a long, b long")
+    return placed.groupBy("node").applyInPandas(compare, "a long, b long")
 
 
 def _row_hash() -> Column:
