@@ -21,15 +21,21 @@ def _order(text: str) -> list[tuple[str, bool]]:
     return found
 
 
+def declared_order(text: str) -> list[Column]:
+    """Sort columns of an ``order_by_cols`` text."""
+    return [F.col(c).desc() if down else F.col(c).asc() for c, down in _order(text)]
+
+
 def latest_rows(rows: DataFrame, natural_key: Sequence[str], order_by: str) -> DataFrame:
     """The first row per natural key in the declared order; NULL keys are a key like any other.
 
-    One direction for all columns needs only an aggregate, which shrinks before the shuffle. Mixed directions need a window.
+    One direction for all columns needs only an aggregate, which shrinks before the shuffle. Mixed directions need a window, of
+    which each task passes on one row per key.
     """
     order = _order(order_by)
     ways = {down for _, down in order}
     if len(ways) > 1:
-        by = Window.partitionBy(*natural_key).orderBy(*[F.col(c).desc() if down else F.col(c).asc() for c, down in order])
+        by = Window.partitionBy(*natural_key).orderBy(*declared_order(order_by))
         return rows.withColumn("_place", F.row_number().over(by)).filter("_place = 1").drop("_place")
     pick = F.max_by if ways == {True} else F.min_by
     whole = pick(F.struct(*rows.columns), F.struct(*[F.col(c) for c, _ in order]))

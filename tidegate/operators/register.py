@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate import schemas
 from tidegate.functions.text import base_name, landing_directory
@@ -15,6 +15,7 @@ from tidegate.plans.keys import require_columns
 from tidegate.plans.ordering import next_id, number_rows
 from tidegate.plans.patterns import glob_join
 from tidegate.plans.skew import salted_join, thinned
+from tidegate.plans.turns import turn
 from tidegate.session import written
 
 REGISTERED = "REGISTERED"
@@ -114,3 +115,35 @@ def receive(meta: Meta, listing: DataFrame, batch_name: str, received: datetime,
     if meta.batch.filter((F.col("batch_name") == batch_name) & F.col("end_time").isNull()).isEmpty():
         raise ValueError(f"no active batch named {batch_name!r}")
     return register_files(meta, listing, received, batch_name=batch_name, root=root)
+
+
+def _unknown(table: DataFrame, rows: DataFrame, *columns: str) -> None:
+    """Refuse rows whose value in one of the columns the table has, or that share it among themselves."""
+    for column in columns:
+        if not rows.select(column).join(thinned(table.select(column)), column, "left_semi").isEmpty():
+            raise RuntimeError(f"{column} of a new row is in the table already")
+    if rows.select(columns[0]).distinct().count() < rows.count():
+        raise RuntimeError(f"new rows share a {columns[0]}")
+
+
+def append_received(spark: SparkSession, folder: str, listing: DataFrame, batch_name: str, received: datetime, root: str = "/Files") -> DataFrame:
+    """A whole receiving run on control tables in ``folder``: its rows, after they were appended to the registry.
+
+    Runs take turns from reading the registry to the append, so two of them at once neither share an id nor register a file twice.
+    """
+    with turn(spark, folder, "data_file"):
+        meta = Meta.from_folder(spark, folder)
+        rows = written(receive(meta, listing, batch_name, received, root), "received")
+        _unknown(meta.data_file, rows, "file_id", "filename")
+        rows.write.mode("append").parquet(f"{folder}/data_file")
+    return rows
+
+
+def append_batch(spark: SparkSession, folder: str, name: str, started: datetime, **details: str) -> DataFrame:
+    """Open a batch in the control tables in ``folder``; runs take turns, so each gets an id of its own."""
+    with turn(spark, folder, "batch"):
+        meta = Meta.from_folder(spark, folder)
+        row = written(open_batch(meta, name, started, **details), "batch")
+        _unknown(meta.batch, row, "batch_id")
+        row.write.mode("append").parquet(f"{folder}/batch")
+    return row

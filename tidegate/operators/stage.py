@@ -3,30 +3,37 @@
 Files of one layout (same delimiter, header line and declared columns) are read and written together, so the number of jobs
 follows the number of layouts, not of files. Each file becomes one partition of its stage table, and a repeated run
 replaces that partition. Nothing is shuffled on the way from a file to its partition.
+
+A run writes to a folder of its own below the target, which readers of the target do not see. Rows are counted while they are
+written, and by file from the ends of the files written, whose sums must agree. Then the declared gates are asked: the share of bad rows that an object allows, and the validation
+of a source. Files that pass replace their partitions; of the others nothing is left, and they stay registered.
 """
 
 from __future__ import annotations
 
 import csv
 import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.rules import find_roles
 from tidegate.functions.text import blank_to_null, stage_table_name
 from tidegate.meta import Meta
 from tidegate.operators.changes import fill_update
+from tidegate.operators.declared import over_threshold
 from tidegate.operators.models import LinearScore, score_customers
 from tidegate.operators.register import REGISTERED
 from tidegate.operators.sources import source_attributes
-from tidegate.plans.ordering import number_lines
+from tidegate.operators.validate import validate
 from tidegate.plans.skew import salted_join
-from tidegate.session import file_names, qualified, remove_folder, written
-from tidegate.sources.delimited import BAD_RECORD, FeedColumn, feed_options, read_delimited, read_fixed_width, typed_select
+from tidegate.session import qualified, remove_folder, use_here, written
+from tidegate.sources.delimited import BAD_RECORD, LINE, FeedColumn, feed_options, read_delimited, read_fixed_width, typed_select
+from tidegate.sources.folders import partition_name, replace_folders
 from tidegate.sources.headers import first_lines
 
 LAYOUTS_AT_ONCE = 4
@@ -34,6 +41,7 @@ COMPLETED = "COMPLETED"
 ERROR = "ERROR"
 SCORE = "real_customer_score"
 RECORD_ID = "record_id"
+RUNS = "_run-"  # folders that readers of the target leave out
 
 # Texts of the option defaults that the loader fills in.
 OPTION_DEFAULTS = {
@@ -114,7 +122,10 @@ def files_with_attributes(meta: Meta, files: DataFrame) -> DataFrame:
         "trim_space",
         "file_encoding",
         "date_format",
+        "time_format",
         "timestamp_format",
+        "row_delimiter",
+        "footer_row_count",
         "error_on_column_count_mismatch",
         "on_error",
         "add_record_id_ind",
@@ -165,6 +176,15 @@ def check_headers(layouts: DataFrame, feed: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Part:
+    """What one write left: its folder, and the rows counted on the way."""
+
+    folder: str
+    rows: int
+    bad: int
+
+
 @dataclass
 class Layout:
     """Everything needed to plan one read: options, header order and declared columns."""
@@ -207,7 +227,10 @@ _LAYOUT_COLUMNS = [
     "trim_space",
     "file_encoding",
     "date_format",
+    "time_format",
     "timestamp_format",
+    "row_delimiter",
+    "footer_row_count",
     "error_on_column_count_mismatch",
     "on_error",
     "add_record_id_ind",
@@ -256,7 +279,7 @@ def _with_headers(files: DataFrame, feed: DataFrame, root: str) -> DataFrame:
     )
     reason = (
         F.when(F.col("header").isNull(), "The file cannot be read.")
-        .when(F.col("header") == "", "The file is empty.")
+        .when(F.col("header") == "", "The file is empty or has no header line.")
         .when(~F.col("header_ok"), mismatch)
     )
     return joined.withColumn("reject_reason", F.coalesce("reject_reason", reason)).select(*headed.columns)
@@ -272,7 +295,7 @@ def stage_files(
 ) -> DataFrame:
     """Load all registered files into ``out/stage_name=.../file_id=...`` and report one row per file.
 
-    A file that cannot be loaded gets a reason and stays registered; the others are loaded all the same.
+    A file that cannot be loaded, or does not pass a gate, gets a reason and stays registered; the others are loaded all the same.
     """
     spark = meta.data_file.sparkSession
     feed = meta.source_feed_column
@@ -301,16 +324,24 @@ def stage_files(
         "files",
     )
     failures: dict[str, str] = {}
-    before = _partitions(spark, files.filter("reject_reason IS NULL"), out)
     ready = files.filter("reject_reason IS NULL").select("path", "file_id", "stage_name", "layout")
+    run = uuid.uuid4().hex
+    folder = f"{qualified(spark, out)}/{RUNS}{run}"
 
-    def load(form: str) -> None:
+    def load(form: str) -> list[Part]:
         group = ready.filter(F.col("layout") == form).drop("layout")
-        _load(spark, group, _layout(json.loads(form)), out, model, failures)
+        return _load(spark, group, _layout(json.loads(form)), folder, model, failures)
 
-    with ThreadPoolExecutor(LAYOUTS_AT_ONCE) as pool:  # jobs of different layouts fill the cluster together
-        list(pool.map(load, [r["layout"] for r in ready.select("layout").distinct().collect()]))
-    return written(_outcomes(spark, files, out, failures, before), "outcomes")
+    with ThreadPoolExecutor(LAYOUTS_AT_ONCE, initializer=use_here, initargs=(spark,)) as pool:  # jobs of different layouts fill the cluster together
+        loaded = pool.map(load, [r["layout"] for r in ready.select("layout").distinct().collect()])
+        parts = [part for some in loaded for part in some]
+    counts = written(_counts(spark, parts), "counts")
+    outcomes = _over_limits(_outcomes(spark, files, counts, failures), meta.data_object)
+    outcomes = _validated(written(outcomes, "counted"), counts, meta)
+    _publish(outcomes, counts, qualified(spark, out), run)
+    if parts:
+        remove_folder(spark, folder)
+    return outcomes
 
 
 def _layout(form: dict) -> Layout:
@@ -327,36 +358,36 @@ def _layout(form: dict) -> Layout:
 
 def _read(spark: SparkSession, layout: Layout, paths: list[str]) -> DataFrame:
     options = feed_options(layout.attributes)
+    numbered = layout.attributes.get("add_record_id_ind") == "Y"
     if (layout.attributes.get("file_format") or "").upper().startswith("FIXED"):
-        return read_fixed_width(spark, paths, layout.columns, options)
-    rows = read_delimited(spark, paths, layout.header, options)
-    extra = [BAD_RECORD] if options.keep_bad else []
+        return read_fixed_width(spark, paths, layout.columns, options, numbered)
+    rows = read_delimited(spark, paths, layout.header, options, lines=numbered)
+    extra = [*([BAD_RECORD] if options.keep_bad else []), *([LINE] if numbered else [])]
     return rows.select(*typed_select(rows, layout.columns, options), *extra, "_path", "_block", "_at")
 
 
 def _load(
-    spark: SparkSession, group: DataFrame, layout: Layout, out: str, model: LinearScore | None, failures: dict[str, str]
-) -> None:
+    spark: SparkSession, group: DataFrame, layout: Layout, folder: str, model: LinearScore | None, failures: dict[str, str]
+) -> list[Part]:
     """Read, score and write the files of one layout; if that fails, halve the list until the bad files are alone."""
     paths = sorted(r["path"] for r in group.select("path").toLocalIterator())
 
-    def run(some: list[str]) -> None:
+    def run(some: list[str]) -> list[Part]:
+        target = f"{folder}/{uuid.uuid4().hex}"
         try:
-            _write(_read(spark, layout, some), group, layout, out, model)
+            return [_write(_read(spark, layout, some), group, layout, target, model)]
         except Exception as problem:
             if len(some) == 1:
                 failures[some[0]] = str(problem)
-                return
+                return []
             middle = len(some) // 2
-            run(some[:middle])
-            run(some[middle:])
+            return run(some[:middle]) + run(some[middle:])
 
-    if paths:
-        run(paths)
+    return run(paths) if paths else []
 
 
-def _write(rows: DataFrame, files: DataFrame, layout: Layout, out: str, model: LinearScore | None) -> None:
-    """Attach file id and stage name by path (a small table, broadcast by its size), score, and write partitions."""
+def _write(rows: DataFrame, files: DataFrame, layout: Layout, target: str, model: LinearScore | None) -> Part:
+    """Attach file id and stage name by path (a small table, broadcast by its size), score, count and write partitions."""
     names = [c.name for c in layout.columns]
     owned = rows.join(files.withColumnRenamed("path", "_path"), "_path")
     keep = [*names, *([BAD_RECORD] if BAD_RECORD in rows.columns else []), "stage_name", "file_id"]
@@ -364,49 +395,42 @@ def _write(rows: DataFrame, files: DataFrame, layout: Layout, out: str, model: L
         roles = {column: role for role, column in find_roles(names).items()}
         owned = score_customers(owned, model, roles)
         keep.insert(len(names), SCORE)
-    if layout.attributes.get("add_record_id_ind") == "Y":
-        numbered = number_lines(owned.select(*keep, "_path", "_block", "_at"), "_path", "_block", "_at", RECORD_ID)
-        owned, keep = numbered, [*keep[:-2], RECORD_ID, *keep[-2:]]
-    result = owned.select(*keep)
-    writer = result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("stage_name", "file_id").parquet(out)
-
-
-def _partitions(spark: SparkSession, files: DataFrame, out: str) -> dict[str, tuple[str, set[str]]]:
-    """Per path of ``files`` its partition, if that exists, with the names of the data files in it."""
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    found = {}
-    for row in files.select("path", "stage_name", "file_id").toLocalIterator():
-        folder = f"{out}/stage_name={escape(row['stage_name'])}/file_id={row['file_id']}"
-        names = file_names(spark, folder)
-        if names:
-            found[row["path"]] = folder, names
-    return found
-
-
-def _outcomes(
-    spark: SparkSession, files: DataFrame, out: str, failures: dict[str, str], before: dict[str, tuple[str, set[str]]]
-) -> DataFrame:
-    """Count what this run wrote: only the partitions of its files and the bad-row column are read.
+    if LINE in rows.columns:
+        owned = owned.withColumn(RECORD_ID, F.col(LINE))
+        keep = [*keep[:-2], RECORD_ID, *keep[-2:]]
+    seen = Observation()
+    totals = [F.count(F.lit(1)).alias("rows"), *([F.count(BAD_RECORD).alias("bad")] if BAD_RECORD in rows.columns else [])]
+    owned.select(*keep).observe(seen, *totals).write.partitionBy("stage_name", "file_id").parquet(target)
+    return Part(target, seen.get["rows"], seen.get.get("bad", 0))
+
 
-    A reloaded file that has no rows any more leaves its old partition untouched by the write, so that is removed here.
+def _counts(spark: SparkSession, parts: list[Part]) -> DataFrame:
+    """``file_id, stage_name, part, row_count, error_row_count`` of what a run wrote.
+
+    The number of rows stands at the end of each file written, so only those ends and the bad-row column are read. What was
+    counted during the write must come out again.
     """
     counted = "_corrupt_record string, stage_name string, file_id long"
-    after = _partitions(spark, files.filter("reject_reason IS NULL"), out)
-    for path, (folder, names) in before.items():
-        if path not in failures and after.get(path) == (folder, names):
-            remove_folder(spark, folder)
-            del after[path]
-    paths = [folder for path, (folder, _) in after.items() if path not in failures]
-    if paths:
-        stored = spark.read.schema(counted).option("basePath", out).parquet(*paths)
-    else:
-        stored = spark.createDataFrame([], counted)
-    counts = stored.groupBy("file_id").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count(BAD_RECORD).alias("error_row_count")
-    )
+    every = []
+    for part in parts:
+        if part.rows:
+            stored = spark.read.schema(counted).parquet(part.folder)
+            by_file = stored.groupBy("file_id", "stage_name").agg(F.count(F.lit(1)).alias("row_count"), F.count(BAD_RECORD).alias("error_row_count"))
+            every.append(by_file.withColumn("part", F.lit(part.folder)))
+    if not every:
+        return spark.createDataFrame([], "file_id long, stage_name string, row_count long, error_row_count long, part string")
+    counts = written(reduce(DataFrame.unionByName, every), "by_file")
+    total = counts.agg(F.sum("row_count"), F.sum("error_row_count")).first()
+    if tuple(total) != (sum(p.rows for p in parts), sum(p.bad for p in parts)):
+        raise RuntimeError(f"{tuple(total)} rows and errors are stored, not as many as were written")
+    return counts
+
+
+def _outcomes(spark: SparkSession, files: DataFrame, counts: DataFrame, failures: dict[str, str]) -> DataFrame:
+    """One row per file of the run, with its counts or the reason why it was not loaded."""
     failed = spark.createDataFrame([(p, m) for p, m in failures.items()], "path string, _message string")
-    out_rows = files.join(counts, "file_id", "left").join(failed, "path", "left")
+    found = counts.select("file_id", "row_count", "error_row_count")
+    out_rows = files.join(found, "file_id", "left").join(failed, "path", "left")
     reason = F.coalesce("reject_reason", "_message")
     loaded = reason.isNull()
     return out_rows.select(
@@ -421,6 +445,64 @@ def _outcomes(
     )
 
 
+def _refused(outcomes: DataFrame, reason: Column) -> DataFrame:
+    """Loaded files for which there is a reason get it and lose their counts."""
+    new = F.when(F.col("reject_reason").isNull(), reason)
+    counts = {c: F.when(new.isNull(), F.col(c)) for c in ("row_count", "error_row_count")}
+    return outcomes.withColumns({"reject_reason": F.coalesce("reject_reason", new), **counts})
+
+
+def _over_limits(outcomes: DataFrame, objects: DataFrame) -> DataFrame:
+    """Files with a larger share of bad rows than their object allows are not loaded."""
+    if "error_row_threshold_pct" not in objects.columns:
+        return outcomes
+    over = over_threshold(outcomes.filter("reject_reason IS NULL"), objects).select(F.col("file_id").alias("_over"), "error_row_threshold_pct")
+    text = F.format_string("%d of %d rows are bad, more than %d percent.", "error_row_count", "row_count", "error_row_threshold_pct")
+    marked = outcomes.join(over, F.col("file_id") == F.col("_over"), "left")
+    return _refused(marked, F.when(F.col("_over").isNotNull(), text)).select(*outcomes.columns)
+
+
+def _validated(outcomes: DataFrame, counts: DataFrame, meta: Meta) -> DataFrame:
+    """Files of sources whose declared validation does not pass are not loaded."""
+    if "post_validation_sql" not in meta.source.columns:
+        return outcomes
+    loaded = outcomes.filter("reject_reason IS NULL")
+    statements = meta.source.filter(F.col("post_validation_sql").isNotNull() & (F.trim("post_validation_sql") != ""))
+    asked = statements.select("source_id", "post_validation_sql").join(loaded.select(F.col("object_id").alias("source_id")), "source_id", "left_semi")
+    asked = asked.collect()  # one row per source that declares a validation and has files in this run
+    if not asked:
+        return outcomes
+    spark = outcomes.sparkSession
+    good = written(loaded.join(counts.select("file_id", "part"), "file_id").select("file_id", "object_id", "part"), "good")
+
+    def rows(source_id: int) -> DataFrame | None:
+        mine = good.filter(F.col("object_id") == source_id)
+        stored = [spark.read.parquet(r["part"]) for r in mine.select("part").distinct().collect()]
+        if not stored:
+            return None
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stored)
+        return every.join(mine.select("file_id"), "file_id", "left_semi")
+
+    found = validate(spark, {r["source_id"]: r["post_validation_sql"] for r in asked}, rows)
+    failed = found.filter("status <> 'PASSED'").select(F.col("source_id").alias("_source"), "message")
+    marked = outcomes.join(failed, F.col("object_id") == F.col("_source"), "left")
+    return written(_refused(marked, F.concat(F.lit("Validation: "), "message")).select(*outcomes.columns), "validated")
+
+
+def _publish(outcomes: DataFrame, counts: DataFrame, out: str, run: str) -> None:
+    """Replace the partitions of loaded files by what the run wrote for them; a file without rows leaves none."""
+    spark = outcomes.sparkSession
+    loaded = outcomes.filter("reject_reason IS NULL").select("file_id", "stage_name")
+    stages = [r["stage_name"] for r in loaded.select("stage_name").distinct().collect()]
+    if not stages:
+        return
+    names = spark.createDataFrame([(s, partition_name(spark, "stage_name", s)) for s in stages], "stage_name string, _stage string")
+    below = F.concat(F.col("_stage"), F.lit("/file_id="), F.col("file_id").cast("string"))
+    placed = loaded.join(names, "stage_name").join(counts.select("file_id", "part"), "file_id", "left")
+    pairs = placed.select(F.concat("part", F.lit("/"), below).alias("src"), F.concat(F.lit(f"{out}/"), below).alias("dst"))
+    replace_folders(written(pairs, "publish"), out, run)
+
+
 def registry_after_load(registry: DataFrame, outcomes: DataFrame, modified: Column, status: str = COMPLETED) -> DataFrame:
     """Registry rows after the load: counts and status of loaded files, rejected ones untouched.
 

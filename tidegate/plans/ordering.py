@@ -65,21 +65,32 @@ def next_id(table: DataFrame, column: str) -> Column:
     return table.agg((F.coalesce(F.max(column), F.lit(0)) + 1).cast("long")).scalar()
 
 
-def number_lines(df: DataFrame, file: str, block: str, at: str, name: str) -> DataFrame:
-    """Number the rows of each file from 1 in file order.
+def line_places(df: DataFrame, file: str, block: str, at: str, place: str, total: str | None = None) -> DataFrame:
+    """Add the place of each row in its file, from 1, and on request how many rows the file has.
 
     ``block`` is the offset of the file split a row came from and ``at`` its ``monotonically_increasing_id``; rows of one
     split have consecutive ids. So a row's place follows from its split alone plus the sizes of earlier splits, and a file
-    that holds most of the data is still numbered by many tasks.
+    that holds most of the data is still numbered by many tasks. Rows are not copied: a first pass counts them per split, a
+    second one, whenever the result is read, gives the numbers. ``df`` must come from a scan, so that both passes see the same
+    splits; a row that the first pass did not see at its place is an error.
     """
-    kept = written(df, "lines")
-    sizes = kept.groupBy(file, block).agg(F.min(at).alias("_first"), F.count(F.lit(1)).alias("_size"))
+    counts = df.groupBy(file, block).agg(F.min(at).alias("_first"), F.max(at).alias("_last"), F.count(F.lit(1)).alias("_size"))
+    sizes = written(counts, "splits")
     earlier = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         F.col(file).alias("_file"),
         F.col(block).alias("_block_at"),
         "_first",
+        "_last",
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_size").over(Window.partitionBy(file)).alias("_total"),
     )
-    joined = kept.join(starts, (F.col(file) == F.col("_file")) & (F.col(block) == F.col("_block_at")))
-    return joined.select(*df.columns, (F.col("_before") + F.col(at) - F.col("_first") + 1).alias(name))
+    joined = df.join(starts, (F.col(file) == F.col("_file")) & (F.col(block) == F.col("_block_at")), "left")
+    seen = (F.col(at) >= F.col("_first")) & (F.col(at) <= F.col("_last"))
+    number = F.when(seen, F.col("_before") + F.col(at) - F.col("_first") + 1).otherwise(F.raise_error(F.lit("the splits of a file have changed")))
+    return joined.select(*df.columns, number.cast("long").alias(place), *([F.col("_total").alias(total)] if total else []))
+
+
+def number_lines(df: DataFrame, file: str, block: str, at: str, name: str) -> DataFrame:
+    """Number the rows of each file from 1 in file order; see ``line_places``."""
+    return line_places(df, file, block, at, name)

@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.text import EMPTY_WORDS
-from tidegate.plans.skew import salted_join
-from tidegate.session import written
+from tidegate.plans.ordering import line_places
 from tidegate.sources.landing import row_path
 
 BAD_RECORD = "_corrupt_record"
+LINE = "_line"
+
+# Names that people give to the end of a line.
+LINE_ENDS = {"LF": "\n", "CRLF": "\r\n", "CR": "\r", "\\N": "\n", "\\R\\N": "\r\n", "\\R": "\r"}
 
 
 @dataclass(frozen=True)
@@ -43,6 +46,7 @@ class FeedColumn:
             "boolean": T.BooleanType(),
             "date": T.DateType(),
             "timestamp": T.TimestampType(),
+            "time": T.TimeType(6),
         }
         return known.get(kind, T.StringType())
 
@@ -58,6 +62,9 @@ class FeedOptions:
     encoding: str = "UTF-8"
     date_format: str | None = None
     timestamp_format: str | None = None
+    time_format: str | None = None
+    line_end: str | None = None
+    footer_rows: int = 0
     keep_bad: bool = False
     fail_on_bad: bool = False
     pattern: str | None = None
@@ -81,6 +88,13 @@ def parse_nulls(text: str | None) -> tuple[str, ...]:
     return tuple(quoted or [part.strip() for part in text.split(",")])
 
 
+def line_end(value: object) -> str | None:
+    """The characters that end a line, from a name such as CRLF or the characters themselves; None for the usual ones, which readers find out."""
+    text = "" if value is None else str(value)
+    text = LINE_ENDS.get(text.strip().upper(), text)
+    return None if text.strip(" ").lower() in EMPTY_WORDS or text in ("\n", "\r\n") else text
+
+
 def feed_options(row: dict[str, object]) -> FeedOptions:
     """Reader options from one row of source attributes; hand-entered "none", "n/a" and blanks count as not set."""
 
@@ -99,6 +113,9 @@ def feed_options(row: dict[str, object]) -> FeedOptions:
         encoding=_text(row.get("file_encoding")) or "UTF-8",
         date_format=automatic(row.get("date_format")),
         timestamp_format=automatic(row.get("timestamp_format")),
+        time_format=automatic(row.get("time_format")),
+        line_end=line_end(row.get("row_delimiter")),
+        footer_rows=int(row.get("footer_row_count") or 0),
         keep_bad=_yes(row.get("error_on_column_count_mismatch")),
         fail_on_bad=(_text(row.get("on_error")) or "continue").lower() not in ("continue", "skip_file"),
         pattern=_text(row.get("split_filename_pattern")),
@@ -112,6 +129,8 @@ def typed(text: Column, column: FeedColumn, options: FeedOptions | None = None)
         return F.try_to_timestamp(text, F.lit(options.date_format)).cast(kind)
     if options and isinstance(kind, T.TimestampType) and options.timestamp_format:
         return F.try_to_timestamp(text, F.lit(options.timestamp_format))
+    if isinstance(kind, T.TimeType) and options and options.time_format:
+        return F.try_to_time(text, F.lit(options.time_format))
     return text if isinstance(kind, T.StringType) else text.try_cast(kind)
 
 
@@ -130,9 +149,10 @@ def _clean(text: Column, options: FeedOptions) -> Column:
 
 
 def read_delimited(
-    spark: SparkSession, paths: Sequence[str], names: Sequence[str], options: FeedOptions, schema: T.StructType | None = None
+    spark: SparkSession, paths: Sequence[str], names: Sequence[str], options: FeedOptions, schema: T.StructType | None = None,
+    lines: bool = False,
 ) -> DataFrame:
-    """Text columns in file order, then where each row came from.
+    """Text columns in file order, then where each row came from, and with ``lines`` its number in the file.
 
     With ``keep_bad`` there is also the raw line of rows with too many or too few fields, else NULL. ``schema`` lets the
     reader type the columns itself, so that text of a wrong type makes a row bad as well.
@@ -155,22 +175,46 @@ def read_delimited(
         reader = reader.option("escape", options.escape)
     if options.pattern:
         reader = reader.option("pathGlobFilter", options.pattern)
-    rows = reader.csv(list(paths))
+    if options.line_end and len(options.line_end) <= 2:
+        reader = reader.option("lineSep", options.line_end)
+    if options.line_end and len(options.line_end) > 2:  # Spark's CSV reader takes no longer ends, its text reader does
+        rows = _parsed_lines(spark, paths, T.StructType(fields + bad), options)
+    else:
+        rows = reader.csv(list(paths))
     columns = [
         (_clean(F.col(f.name), options) if isinstance(f.dataType, T.StringType) else F.col(f.name)).alias(f.name)
         for f in fields
     ]
     out = rows.select(*columns, *[b.name for b in bad], *[c.alias(n) for n, c in origin_columns().items()])
-    return skip_first_lines(out, options.header_rows) if options.header_rows > 1 else out
+    return body_lines(out, options, options.header_rows == 1 and not (options.line_end and len(options.line_end) > 2), lines)
+
+
+def _parsed_lines(spark: SparkSession, paths: Sequence[str], schema: T.StructType, options: FeedOptions) -> DataFrame:
+    """Lines with an end of any length, parsed one by one; header lines are still there."""
+    reader = spark.read.option("lineSep", options.line_end)
+    if options.pattern:
+        reader = reader.option("pathGlobFilter", options.pattern)
+    lines = reader.text(list(paths))
+    settings = {"sep": options.delimiter or "\u0001", "quote": options.quote or "\u0000", "columnNameOfCorruptRecord": BAD_RECORD}
+    settings["mode"] = "FAILFAST" if options.fail_on_bad else "PERMISSIVE"
+    if options.escape:
+        settings["escape"] = options.escape
+    parsed = lines.select("_metadata", F.from_csv("value", schema.simpleString(), settings).alias("_row"))
+    return parsed.select("_metadata", *[F.col("_row")[f.name].alias(f.name) for f in schema.fields])
 
 
-def skip_first_lines(rows: DataFrame, count: int) -> DataFrame:
-    """Drop the first lines of every file. The rows are kept first, so both passes see the same places."""
-    kept = written(rows, "headed")
-    starts = kept.filter("_block = 0").groupBy("_path").agg(F.min("_at").alias("_first"))
-    joined = salted_join(kept, starts, ["_path"], ["_at"], "left")
-    body = joined.filter((F.col("_block") != 0) | (F.col("_at") - F.col("_first") >= count))
-    return body.select(*rows.columns)
+def body_lines(rows: DataFrame, options: FeedOptions, headed: bool, lines: bool) -> DataFrame:
+    """Rows without the header and footer lines of their file; ``headed`` if the reader has dropped the header already.
+
+    With ``lines`` they also get their number among what is left, from 1, in ``LINE``. A file may have several splits: the place
+    of a line, from either end, follows from the counts of the splits.
+    """
+    header = 0 if headed else options.header_rows
+    if not (header or options.footer_rows or lines):
+        return rows
+    placed = line_places(rows, "_path", "_block", "_at", LINE, "_lines")
+    body = placed.filter((F.col(LINE) > header) & (F.col(LINE) <= F.col("_lines") - options.footer_rows))
+    return body.select(*rows.columns, *([(F.col(LINE) - header).alias(LINE)] if lines else []))
 
 
 def read_labelled_customers(spark: SparkSession, path: str) -> DataFrame:
@@ -193,13 +237,14 @@ def cut_fixed_width(line: Column, columns: Sequence[FeedColumn], options: FeedOp
 
 
 def read_fixed_width(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[FeedColumn], options: FeedOptions | None = None
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[FeedColumn], options: FeedOptions | None = None, lines: bool = False
 ) -> DataFrame:
     opts = options or FeedOptions(header_rows=0)
-    rows = spark.read.text(list(paths)).select("value", *[c.alias(n) for n, c in origin_columns().items()])
-    if opts.header_rows:
-        rows = skip_first_lines(rows, opts.header_rows)
-    return rows.select(*cut_fixed_width(F.col("value"), columns, opts), "_path", "_block", "_at")
+    reader = spark.read.option("lineSep", opts.line_end) if opts.line_end else spark.read
+    rows = reader.text(list(paths)).select("value", *[c.alias(n) for n, c in origin_columns().items()])
+    rows = body_lines(rows, opts, False, lines)
+    extra = [LINE] if lines else []
+    return rows.select(*cut_fixed_width(F.col("value"), columns, opts), "_path", "_block", "_at", *extra)
 
 
 def typed_select(rows: DataFrame, columns: Sequence[FeedColumn], options: FeedOptions | None = None) -> list[Column]:
