@@ -58,10 +58,11 @@ class Side:
         self.tokens = tokens
         self.lengths = [len(t) for t in tokens]
 
-    def ends(self, ids: list[int], whole: bytes) -> list[int] | None:
-        """Byte offsets at which the tokens end; None if they don't spell ``whole``."""
-        if b"".join(map(self.tokens.__getitem__, ids)) != whole:
-            return None
+    def spell(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+    def ends(self, ids: list[int]) -> list[int]:
+        """Byte offsets at which the tokens end."""
         return list(accumulate(map(self.lengths.__getitem__, ids)))
 
 
@@ -94,7 +95,7 @@ class Aligner:
         self.a, self.b = Side(level_tokens(vocabulary)), Side(piece_tokens(self.pieces))
         self.most = max(len(self.a.tokens), len(self.b.tokens))
         # How an id is spelled before another id of its list, at the end of A's part, and at the end of a group.
-        self.spelled = [f"{i}{mark}" for mark in ",|;" for i in range(self.most)]
+        self.spelled = np.array([f"{i}{mark}" for mark in ",|;" for i in range(self.most)], dtype="S")
 
     def ids_a(self, text: str) -> list[int]:
         """By the quick encoder where it gives the same ids: see ``packing``."""
@@ -109,15 +110,15 @@ class Aligner:
             return None
         whole = (" " + text).encode()
         ids_a = self.ids_a(" " + text)
-        ends_a, ends_b = self.a.ends(ids_a, whole), self.b.ends(ids_b, whole)
-        if ends_a is None or ends_b is None:
+        if self.b.spell(ids_b) != whole or self.encoder.quick.decode_bytes(ids_a) != whole:
             return None
+        ends_a, ends_b = self.a.ends(ids_a), self.b.ends(ids_b)
         at_a, at_b = dict(zip(ends_a, range(len(ids_a)))), dict(zip(ends_b, range(len(ids_b))))
         common = sorted(at_a.keys() & at_b.keys())
         return ids_a, ids_b, np.fromiter(map(at_a.__getitem__, common), dtype=np.int64), np.fromiter(map(at_b.__getitem__, common), dtype=np.int64)
 
-    def groups(self, ids_a: list[int], ids_b: list[int], last_a: np.ndarray, last_b: np.ndarray) -> str:
-        """``a1,a2|b1;a3|b2,b3``: the slices of both lists, in order."""
+    def groups(self, ids_a: list[int], ids_b: list[int], last_a: np.ndarray, last_b: np.ndarray) -> bytes:
+        """``a1,a2|b1;a3|b2,b3`` in ASCII: the slices of both lists, in order."""
         n, m = len(ids_a), len(ids_b)
         signs = np.empty(n + m, dtype=np.int64)
         # A token stands behind all tokens of its list, and behind the other list's tokens of earlier groups, or of its own too.
@@ -126,7 +127,7 @@ class Aligner:
         signs[place_a], signs[place_b] = ids_a, ids_b
         signs[place_a[last_a]] += self.most
         signs[place_b[last_b]] += 2 * self.most
-        return "".join(map(self.spelled.__getitem__, signs.tolist()))[:-1]
+        return self.spelled[signs].tobytes().translate(None, b"\0")[:-1]  # texts of one width, without their padding
 
     def alignments(self, texts: list[str | None]) -> Iterator[tuple | None]:
         """``align`` for texts, some of which are encoded together."""
@@ -170,8 +171,8 @@ def aligned(docs: DataFrame, named: tuple[str, str, str], keep_groups: bool = Tr
             ids_a, ids_b, last_a, last_b = found
             spelled = aligner.groups(*found)
             pairs, times = np.unique(np.array(ids_a)[last_a] << 32 | np.array(ids_b)[last_b], return_counts=True)
-            digest = hashlib.sha256(spelled.encode()).hexdigest()
-            return len(ids_a), len(ids_b), len(last_a), spelled if keep_groups else None, digest, pairs, times
+            digest = hashlib.sha256(spelled).hexdigest()
+            return len(ids_a), len(ids_b), len(last_a), spelled.decode() if keep_groups else None, digest, pairs, times
 
         for frame in frames:
             for at in range(0, len(frame), ROWS):
