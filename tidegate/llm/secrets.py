@@ -211,19 +211,28 @@ def scan(machine: Automaton, data: bytes, lane: int = LANE) -> tuple[np.ndarray,
         now = machine.table[now * machine.width + columns[at]]
         states[at] = now
     began = np.zeros(lanes, dtype=np.int32)
+    ahead = 1
     while True:
         ends = np.concatenate(([0], states[-1, :-1])).astype(np.int32)
         wrong = np.flatnonzero(ends != began)
         if not len(wrong):
             break
-        began[wrong] = ends[wrong]
-        now = ends[wrong]
+        # A lane that ended as it began, like one inside a long value, hands its state on to lanes that are all like it. So the next
+        # lanes, twice as many in each round, are walked from the same state as well; where that is wrong, a later round mends it.
+        kept = (wrong > 0) & (began[wrong - 1] == ends[wrong])
+        stop = np.minimum(np.append(wrong[1:], lanes), np.where(kept, wrong + ahead, wrong + 1))
+        sizes = stop - wrong
+        begin = np.repeat(ends[wrong], sizes)
+        todo = np.repeat(wrong - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+        ahead *= 2
+        began[todo] = begin
+        now = begin
         for at in range(lane):
-            now = machine.table[now * machine.width + columns[at, wrong]]
-            differ = states[at, wrong] != now
+            now = machine.table[now * machine.width + columns[at, todo]]
+            differ = states[at, todo] != now
             if not differ.any():
                 break
-            states[at, wrong] = now
+            states[at, todo] = now
     step, which = np.nonzero(states >= machine.first_hit)
     return which * lane + step, states[step, which]
 
@@ -248,7 +257,7 @@ def found_in(texts: list[str | None], machine: Automaton, rules: tuple[Rule, ...
     data = b"\n".join(raw)
     begins = np.cumsum([0] + [len(r) + 1 for r in raw])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    patterns = [re.compile(r.pattern) for r in rules]
+    patterns = [re.compile(r.pattern, re.ASCII) for r in rules]  # letters in either case are those of the automaton, A to Z
     last, chars_at, bytes_at = -1, 0, 0
     for start, end, bits in _lines(data, machine):
         doc = int(np.searchsorted(begins, start, side="right")) - 1
