@@ -1,7 +1,7 @@
 """Best-two-fit packing of tokenized documents into sequences of at most ``LENGTH`` tokens.
 
 A document is its token ids and a closing ``END``. Longer ones are cut into full pieces; the remainder is the first piece.
-Pieces are dealt by hash into shards of about ``SHARD`` pieces, which are packed apart from each other; a shard loses less than
+Pieces are dealt by a hash of their number into shards of about ``SHARD`` pieces, equal ones too, which are packed apart from each other; a shard loses less than
 one sequence or so against packing all at once. Within a shard a bin is filled greedily with the longest piece that still fits.
 If a gap stays, the bin's shortest piece is put back and two unpacked pieces take its place that together fill more of the gap
 it leaves.
@@ -131,9 +131,10 @@ def bins(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 def packed(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None, shard: int = SHARD) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset within the sequence."""
-    cut = written(pieces(docs, length, vocabulary), "pieces")
+    # Pieces are numbered and then written, so that equal ones are dealt out like all others, and alike whenever they are read.
+    cut = written(pieces(docs, length, vocabulary).withColumn("number", F.monotonically_increasing_id()), "pieces")
     shards = -(-cut.count() // shard) or 1
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(shards)))
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards))).drop("number")
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable").reset_index(drop=True)
