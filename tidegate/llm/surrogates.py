@@ -7,7 +7,9 @@ Numbers keep their length, phones their first digit after a plus, cards their fi
 one, e-mail its top-level domain, names the gender of the title and the script.
 
 Stand-ins are checked over the whole corpus: if two entities of a type have the same one, or one is itself an entity there, all
-but the first entity are keyed anew, until no clash is left.
+but the first entity are keyed anew, until no clash is left. Short e-mail addresses and names have few stand-ins of their own form, so from the
+second try on they get a letter or syllable more for every other try: there is always room. Numbers keep their length. Their
+forms have 10**9 stand-ins and more; if ``TRIES`` do not part two entities, a corpus holds most numbers of a form, and that is an error.
 
 Null and empty texts stay as they are. Rows are changed independently, so repeated rows come out alike; rows with the same
 doc_id may have different texts. Other columns pass through, but for one called
@@ -22,6 +24,7 @@ from tidegate.llm.common import folded, unfolded
 from tidegate.session import written
 
 KEY = "tidegate"
+TRIES = 60
 MALE = "Mr|Herr|Monsieur|Señor|Sr|Sig|Don|Господин"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Doña|Госпожа"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -118,16 +121,21 @@ def stand_in(type_: Column, canon: Column, attempt: Column, key: str) -> Column:
         )
         return F.when(fixed(i), c).otherwise(other)
 
-    plain = F.array_join(F.transform(F.split(canon, ""), swapped), "")
+    more = F.floor(attempt / 2).cast("int")
+    added = F.when(more > 0, F.sequence(F.lit(1), more)).otherwise(F.array().cast("array<int>"))
+    letters = F.array_join(F.transform(added, lambda i: F.char(97 + number(63 - i) % 26)), "")
+    swapped_text = F.array_join(F.transform(F.split(canon, ""), swapped), "")
+    plain = F.when(type_ == "email", F.concat(letters, swapped_text)).otherwise(swapped_text)
     check = F.substring(plain, F.lit(1), F.length(plain) - 1)
     valid = F.concat(check, ((10 - _luhn(F.concat(check, F.lit("0")))) % 10).cast("string"))
     card = F.when(_luhn(canon) == 0, valid).otherwise(plain)
     address = F.concat_ws(".", *[((number(2 * i) * 7 + number(2 * i + 1)) % 254 + 1).cast("string") for i in range(4)])
 
-    def name(letters: tuple[str, str, str, str]) -> Column:
-        first, vowel, close, female = (F.array(*[F.lit(x) for x in group.split()]) for group in letters)
+    def name(sounds: tuple[str, str, str, str]) -> Column:
+        first, vowel, close, female = (F.array(*[F.lit(x) for x in group.split()]) for group in sounds)
         pick = lambda group, i: F.get(group, number(i) % F.size(group))
-        stem = F.concat(pick(first, 0), pick(vowel, 1), pick(first, 2), pick(vowel, 3), pick(first, 4), pick(vowel, 5))
+        longer = F.array_join(F.transform(added, lambda i: F.concat(pick(first, 6 + 2 * i), pick(vowel, 7 + 2 * i))), "")
+        stem = F.concat(pick(first, 0), pick(vowel, 1), pick(first, 2), pick(vowel, 3), pick(first, 4), pick(vowel, 5), longer)
         return F.concat(stem, pick(close, 6), F.when(type_.endswith(":f"), pick(female, 7)).otherwise(F.lit("")))
 
     return (
@@ -140,13 +148,14 @@ def rendered(value: Column, stand_ins: Column) -> Column:
     """The match with the stand-ins of its parts, in its own separators and case."""
     k = kind(value)
     only = F.get(stand_ins, F.lit(0))
+    more = F.length(only) - F.length(value)  # letters that an e-mail address got in front
 
     def at(c: Column, i: Column) -> Column:
         before = F.length(F.regexp_replace(F.substring(value, F.lit(1), i), "[^+0-9A-Z]", ""))
         return F.when(c.rlike("[+0-9A-Z]"), F.substring(only, before + 1, F.lit(1))).otherwise(c)
 
     def cased(c: Column, i: Column) -> Column:
-        new = F.substring(only, i + 1, F.lit(1))
+        new = F.substring(only, i + 1 + more, F.lit(1))
         return F.when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new)
 
     def word(w: Column, i: Column) -> Column:
@@ -155,7 +164,7 @@ def rendered(value: Column, stand_ins: Column) -> Column:
 
     return (
         F.when(k == "ip", only)
-        .when(k == "email", F.array_join(F.transform(F.split(value, ""), cased), ""))
+        .when(k == "email", F.concat(F.substring(only, F.lit(1), more), F.array_join(F.transform(F.split(value, ""), cased), "")))
         .when(k == "name", F.array_join(F.transform(F.split(value, " "), word), " "))
         .otherwise(F.array_join(F.transform(F.split(value, ""), at), ""))
     )
@@ -170,7 +179,7 @@ def clashes(docs: DataFrame, key: str) -> DataFrame:
     each = docs.select(F.explode(_found(F.col("text"))).alias("value"))
     each = each.select(F.explode(parts(F.col("value"))).alias("e")).select("e.type", "e.canon").distinct()
     entities = written(each.withColumn("attempt", F.lit(0)), "entities")
-    while True:
+    for _ in range(TRIES):
         made = entities.withColumn("made", stand_in(F.col("type"), F.col("canon"), F.col("attempt"), key))
         keepers = made.groupBy("type", "made").agg(F.min("canon").alias("first"), F.count(F.lit(1)).alias("n"))
         taken = entities.select(F.col("type").alias("_t"), F.col("canon").alias("_c"))
@@ -182,6 +191,7 @@ def clashes(docs: DataFrame, key: str) -> DataFrame:
         again = made.join(bad, (F.col("type") == F.col("_t")) & (F.col("made") == F.col("_m")), "left")
         more = F.when(F.col("_m").isNotNull() & ~F.col("canon").eqNullSafe(F.col("_keep")), 1).otherwise(0)
         entities = written(again.select("type", "canon", (F.col("attempt") + more).alias("attempt")), "entities")
+    raise RuntimeError(f"{TRIES} tries left entities with the same stand-in")
 
 
 def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
