@@ -4,10 +4,12 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidegate.llm import induced, line_chunks, mixing, packing, quality_rules, secrets, simhash, suffix_dedup, surrogates
@@ -274,6 +276,45 @@ def test_secrets(docs, rows_in, empty):
     assert any(s for _, s in got) and secrets.secrets(empty).count() == 0
 
 
+def test_secrets_in_ascii_letters_only():
+    machine = secrets.compile_rules()
+    cases = {"pa\u017f\u017fword=abcdefgh1": [], "pa\u017f\u017fword=abcdefgh1 token=abcdefgh1": [(19, 34)], "to\u212aen=abcdefgh1 TOKEN=abcdefgh1": [(16, 31)]}
+    for text, expected in cases.items():
+        assert [(a, b) for a, k, b in secrets.found_in([text], machine)[0] if k == 0] == expected
+
+
+def test_secrets_of_a_long_value():
+    machine = secrets.compile_rules()
+    rnd = random.Random(2)
+    letters = "ABCDEFabcdef0123456789+/xyz"
+    value = "".join(rnd.choices(letters, k=10_000_000))
+    start = time.perf_counter()
+    plain = secrets.scan(machine, ("word and " * 1_111_111).encode())
+    middle = time.perf_counter()
+    at, _ = secrets.scan(machine, ("token=" + value).encode())
+    assert len(plain[0]) == 0 and len(at) >= len(value) - 8
+    assert time.perf_counter() - middle < 6 * (middle - start)
+    for text in ("token=" + value[:5000] + " " + value[:3000] + "\n" + "secret:" + value[:700], "x" * 3000 + "AKIA" + value[:2500].upper()):
+        for lane in (7, 64):
+            at, states = secrets.scan(machine, text.encode(), lane)
+            state, hits = 0, []
+            for k, byte in enumerate(text.encode()):
+                state = int(machine.table[state * machine.width + int(machine.classes[byte])])
+                if state >= machine.first_hit:
+                    hits.append((k, state))
+            assert sorted(zip(at.tolist(), states.tolist())) == hits
+
+
+def test_equal_pieces_are_dealt_out(spark):
+    rows = [(None, None)] * 600 + [(1, "same text")] * 300 + [(k, prose(5)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = packing.packed(docs, 64, shard=100).collect()
+    assert len(out) == len(rows) and collections.Counter(r["doc_id"] for r in out)[None] == 600
+    shards = collections.Counter(r["sequence_id"] >> 32 for r in out)
+    assert len(shards) == 12 and max(shards.values()) < 2 * 100
+    assert max(r["offset"] + r["length"] for r in out) <= 64
+
+
 def test_induced_sorting():
     rnd = random.Random(3)
     for trial in range(60):
@@ -335,6 +376,59 @@ def test_surrogates(spark, docs, empty):
     assert len(set(made)) == 10
 
 
+def test_surrogates_of_a_full_space_end_and_stay_distinct(spark):
+    texts = [f"to {a}@{b}.io now" for a in range(10) for b in range(10)]
+    texts += [f"Mr {prose(1, RANDOM).strip('.').capitalize()}" for _ in range(60)]
+    out = surrogates.replaced(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), key="k").collect()
+    made = {r["doc_id"]: r["text"].split()[1] for r in out if r["doc_id"] < 100}
+    assert len(set(made.values())) == 100 and not set(made.values()) & {t.split()[1] for t in texts}
+    assert all(re.fullmatch(r"[a-z]*\d@\d\.io", m) for m in made.values())
+
+
+def test_surrogates_by_their_rules(spark):
+    """The same entities found by another regular-expression engine; what surrogates must keep holds for all of them."""
+    import regex
+
+    rnd = random.Random(21)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    people = [f"{rnd.choice(['Mr', 'Mrs.', 'Frau', 'Господин', 'Госпожа'])} {rnd.choice(['Anna', 'Bo', 'Ян', 'Ольга'])} {rnd.choice(['Smith', 'Li', 'Иванов'])}" for _ in range(20)]
+    pool = people + [f"{rnd.choice('abcXYZ')}{k}@m{k % 3}.example.org" for k in range(20)] + [f"+1 ({digits(3)}) 555-{digits(4)}" for _ in range(20)]
+    pool += [f"{digits(3)}-{digits(2)}-{digits(4)}" for _ in range(20)] + [" ".join(digits(4) for _ in range(4)) for _ in range(20)] + [f"10.{k}.2.{k}" for k in range(20)]
+    pool += [p.upper() for p in pool if "@" in p] + [f"DE{digits(20)}" for _ in range(5)]
+    texts = [" ".join(rnd.choice([rnd.choice(pool), prose(3, rnd).lower(), "é\n"]) + ";" for _ in range(rnd.randint(0, 12))) for _ in range(300)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in surrogates.replaced(docs).collect()}
+    entity = regex.compile(surrogates.ENTITY)
+    kinds = {r["v"]: (r["k"], r["c"]) for r in spark.createDataFrame([(e,) for t in texts for e in entity.findall(t or "")], "v string").distinct()
+             .select("v", surrogates.kind(F.col("v")).alias("k"), surrogates.canonical(F.col("v")).alias("c")).collect()}
+    made, names = {}, {}
+    for k, text in enumerate(texts):
+        if not text:
+            assert out[k]["text"] == text and out[k]["n_entities"] == 0
+            continue
+        found, between = entity.findall(text), entity.split(text)
+        new = regex.fullmatch("(?s)" + "(.+?)".join(map(regex.escape, between)), out[k]["text"])
+        assert new and out[k]["n_entities"] == len(found)
+        for old, fresh in zip(found, new.groups()):
+            kind, canon = kinds[old]
+            if kind == "name":
+                pairs = list(zip(old.split(), fresh.split()))
+                assert len(fresh.split()) == len(old.split()) and pairs[0][0] == pairs[0][1]
+                female = old.split()[0] in ("Mrs.", "Frau", "Госпожа")
+                for place, (a, b) in enumerate(pairs[1:], 1):
+                    role = ("last" if place == len(pairs) - 1 else "f" if female else "m", a.lower())
+                    assert names.setdefault(role, b.lower()) == b.lower() and bool(regex.search(r"\p{Cyrillic}", a)) == bool(regex.search(r"\p{Cyrillic}", b))
+                    assert place == len(pairs) - 1 or not female or b[-1] in "aа"
+            elif kind == "ip":
+                assert made.setdefault((kind, canon), fresh) == fresh and all(0 < int(x) < 255 for x in fresh.split("."))
+            else:
+                assert regex.sub(r"[0-9A-Za-z]", "x", old) == regex.sub(r"[0-9A-Za-z]", "x", fresh[len(fresh) - len(old) :])
+                plain = fresh.lower() if kind == "email" else regex.sub("[^+0-9A-Z]", "", fresh)
+                assert made.setdefault((kind, canon), plain) == plain and plain != canon
+    for table, least in ((made, 50), (names, 5)):
+        assert len({(k[0], v) for k, v in table.items()}) == len(table) > least
+
+
 def test_pipeline(spark, docs, rows_in, empty, tmp_path):
     for start in (docs, empty):
         now = start

@@ -87,3 +87,19 @@ def test_pages(spark, trees):
     text = f"Title & all\n\nFirst bold café.\n\n{long.strip()}"
     assert got.count((1, "u", text, len(text))) == 2 and (2, None, "", 0) in got and (3, "u", "", 0) in got and (4, "u", "", 0) in got
     assert html_text.main_texts(df.limit(0), trees).count() == 0
+
+
+def test_a_page_without_article_or_role_words():
+    """Written by hand, with class names that say nothing."""
+    notes = ["Release notes", "The new version reads files twice as fast, as measured on our own machines with the usual mix of small and large files."]
+    notes += ["Long names are kept whole, also where the file system allows only short ones.", "Broken files are told apart from empty ones."]
+    blocks = f"""<body><div id=x1><div class=q><a href=/a>Products</a><a href=/b>Prices</a><a href=/c>Log in</a></div><div class=z><h1>{notes[0]}</h1><div>{notes[1]}</div>
+<ul><li>{notes[2]}</li><li>{notes[3]}</li></ul></div><div class=k><form action=/s><input name=q><button>Search</button> Subscribe to our letter</form></div>
+<div class=c><b>anna</b> wrote: Great, thanks! <b>bob</b> wrote: me too <a href=/r>Reply</a> <a href=/r>Report</a></div></div></body>"""
+    assert html_text.texts_of([blocks], html_text.trained()) == ["\n\n".join(notes)]
+
+
+def test_a_very_long_page(trees):
+    paragraphs = ["word " * 400 + f"number {k}." for k in range(700)]
+    html = "<body><nav><a href=/>Home</a></nav><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article></body>"
+    assert len(html) > 1_000_000 and html_text.texts_of([html], trees) == ["\n\n".join(paragraphs)]

@@ -34,17 +34,19 @@ normal AS (SELECT row, source, same, lower(trim(regexp_replace(line, '{SPACE}',
 hosts AS (SELECT source, count(DISTINCT same) AS texts FROM d GROUP BY source),
 common AS (SELECT n.source, n.line FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source GROUP BY n.source, n.line, h.texts
   HAVING count(DISTINCT n.same) > {quality_rules.LIMIT_TEXTS} AND count(DISTINCT n.same) > {quality_rules.LIMIT_SHARE} * h.texts),
-lost AS (SELECT n.row, sum(len(string_split(n.line, ' '))) AS n FROM normal n
+lost AS (SELECT n.row, sum(len(string_split(n.line, ' '))) AS n, list_sort(list(DISTINCT n.line)) AS lost_lines FROM normal n
   JOIN common c ON n.source IS NOT DISTINCT FROM c.source AND n.line = c.line GROUP BY n.row),
-counts AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+counts AS (SELECT d.doc_id, source, lost_lines, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
   CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
   CAST(coalesce(l.n, 0) AS BIGINT) AS n_common_words FROM d LEFT JOIN repeated r USING (row) LEFT JOIN lost l USING (row)),
 judged AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-  n_common_words > 0 AND (n_words - n_common_words < {quality_rules.MIN_WORDS}
-    OR 100 * (n_words - n_common_words) < {quality_rules.MIN_LEFT_PERCENT} * n_words) AS depleted FROM counts)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT depleted AS kept,
-  n_common_words FROM judged"""
+  n_common_words > 0 AND n_words - n_common_words < {quality_rules.MIN_WORDS} AS little,
+  n_common_words > 0 AND 100 * (n_words - n_common_words) < {quality_rules.MIN_LEFT_PERCENT} * n_words AS mostly FROM counts),
+grouped AS (SELECT *, coalesce(doc_id, {quality_rules.LAST}) AS doc,
+  min(CASE WHEN mostly AND NOT base_failed THEN coalesce(doc_id, {quality_rules.LAST}) END) OVER (PARTITION BY source, mostly, lost_lines) AS first FROM judged)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (NOT little AND NOT mostly OR mostly AND doc = first) AS kept, n_common_words FROM grouped"""
 
 OP7 = f"""WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '-')) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
