@@ -12,7 +12,7 @@ from checks.bindings import meta, table
 from checks.pipeline_queries import _NEW_FILES, NOW, _LINES, _listing, now
 from checks.registry import query
 from tidegate import schemas
-from tidegate.operators import pulls, purge, register, stage
+from tidegate.operators import processes, pulls, purge, readiness, register, stage
 from tidegate.session import scratch_path, written
 from tidegate.sources import delimited
 from tidegate.sources.landing import list_files
@@ -267,3 +267,58 @@ def footers_and_row_ends(spark, d):
     declared = [delimited.FeedColumn("event_id", "bigint"), delimited.FeedColumn("at", "time")]
     typed = rows.select(*delimited.typed_select(rows, declared, _REPORT)).withColumn("at", F.col("at").cast("string"))
     return typed.groupBy("event_id", "at").agg(F.count("*").alias("times"))
+
+
+_DUE = {
+    "declared": """SELECT s.source_id, s.source_code, s.receipt_frequency, upper(s.receipt_frequency) AS f, 1 + s.source_id % 40 AS d,
+  INTERVAL 1 MINUTE * (CASE WHEN s.source_id % 3 > 0 THEN 30 + 60 * (s.source_id % 24) ELSE 0 END) AS tod FROM source s JOIN data_object o ON o.object_id = s.source_id
+  WHERE o.required_ind = 'Y' AND s.source_type LIKE '%file%' AND upper(s.receipt_frequency) IN ('DAILY', 'WEEKLY', 'MONTHLY', 'QUARTERLY')""",
+    "units": """SELECT *, CASE f WHEN 'DAILY' THEN 'day' WHEN 'WEEKLY' THEN 'week' WHEN 'MONTHLY' THEN 'month' ELSE 'quarter' END AS u,
+  CASE f WHEN 'DAILY' THEN INTERVAL 1 DAY WHEN 'WEEKLY' THEN INTERVAL 7 DAY WHEN 'MONTHLY' THEN INTERVAL 1 MONTH ELSE INTERVAL 3 MONTH END AS step FROM declared""",
+    "starts": """SELECT *, CAST(date_trunc(u, TIMESTAMP '1998-03-01 12:00:00') AS TIMESTAMP) AS this_start,
+  CAST(date_trunc(u, TIMESTAMP '1998-03-01 12:00:00') AS TIMESTAMP) - step AS past_start FROM units""",
+    "moments": """SELECT *, this_start + INTERVAL 1 DAY * (least(d, CASE f WHEN 'DAILY' THEN 1 WHEN 'WEEKLY' THEN 7 ELSE day(last_day(this_start)) END) - 1) + tod AS due_now,
+  past_start + INTERVAL 1 DAY * (least(d, CASE f WHEN 'DAILY' THEN 1 WHEN 'WEEKLY' THEN 7 ELSE day(last_day(past_start)) END) - 1) + tod AS due_before FROM starts""",
+    "latest": "SELECT object_id, max(modified_date) AS received FROM data_file WHERE file_id % 3 = 0 GROUP BY object_id",
+}
+
+
+@query(
+    "source data_object data_file",
+    """SELECT source_id, source_code, receipt_frequency, due, received AS last_received, CAST(floor(epoch(TIMESTAMP '1998-03-01 12:00:00' - due) / 3600) AS BIGINT) AS hours_late
+FROM (SELECT *, CASE WHEN due_now <= TIMESTAMP '1998-03-01 12:00:00' THEN due_now ELSE due_before END AS due FROM moments) m
+LEFT JOIN latest l ON l.object_id = m.source_id WHERE received IS NULL OR received < due""",
+    _DUE,
+)
+def overdue_sources(spark, d):
+    """Required sources without a file since their last due time, by declared day and time."""
+    m = meta(spark, d)
+    n = F.col("source_id")
+    time_of_day = F.when(n % 3 > 0, F.concat(F.lpad((n % 24).cast("string"), 2, "0"), F.lit(":30")))
+    source = m.source.withColumns({"receipt_day": 1 + n % 40, "receipt_time": time_of_day})
+    files = m.data_file.filter("file_id % 3 = 0").withColumn("file_received_date", F.col("modified_date"))
+    out = readiness.overdue_sources(m.with_tables(source=source, data_file=files), F.to_timestamp_ntz(F.lit("1998-03-01 12:00:00")))
+    return out
+
+
+@query(
+    "process_log",
+    """SELECT 'step ' || CAST(process_log_id % 3 AS VARCHAR) AS process_name, count(*) AS steps, count(*) FILTER (end_time IS NULL) AS unfinished,
+  CAST(coalesce(sum(CASE WHEN end_time IS NOT NULL THEN process_log_id % 500 END), 0) AS BIGINT) AS seconds,
+  CAST(max(CASE WHEN end_time IS NOT NULL THEN process_log_id % 500 END) AS BIGINT) AS longest,
+  CAST(coalesce(sum(inserted_rows), 0) AS BIGINT) AS total_rows, CAST(min(place) AS BIGINT) AS first_id
+FROM (SELECT *, 100 + row_number() OVER (ORDER BY process_log_id, start_time) AS place FROM process_log) GROUP BY ALL""",
+)
+def process_details(spark, d):
+    """The detail log written for all log entries, with ids that follow the highest one, and its elapsed times by process."""
+    m = meta(spark, d)
+    old = schemas.conform(spark.range(1).select(F.lit(100).cast("long").alias("process_log_detail_id")), schemas.META_SCHEMAS["process_log_detail"])
+    name = F.concat(F.lit("step "), (F.col("process_log_id") % 3).cast("string"))
+    steps = m.process_log.select(
+        "process_log_id", F.lit(1).alias("step"), name.alias("process_name"), F.lit("loaded").alias("log_detail_message"),
+        "start_time", (F.col("end_time") + F.make_dt_interval(secs=(F.col("process_log_id") % 500).cast("decimal(18,6)"))).alias("end_time"),
+        F.col("inserted_rows").alias("total_row_cnt"),
+    )
+    rows = written(processes.detail_rows(m.with_tables(process_log_detail=old), steps, now()), "details")
+    first = rows.groupBy("process_name").agg(F.min("process_log_detail_id").alias("first_id"))
+    return processes.elapsed_by_process(rows).join(first, "process_name")

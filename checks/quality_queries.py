@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.bindings import customers, table
@@ -9,7 +10,7 @@ from checks.registry import query
 from tidegate import schemas
 from tidegate.functions import rules
 from tidegate.operators import evaluate, models
-from tidegate.session import scratch_path
+from tidegate.session import scratch_path, written
 
 # The indicator texts below must equal those of ``tidegate.functions.rules``.
 FLAG_SQL = """SELECT *, email_flag + phone_flag + name_flag + dob_flag + address_flag + zip_flag + company_flag AS synthetic_score
@@ -334,3 +335,50 @@ def fitted_mean(spark, d):
     fitted = models.LinearScore.of(models.fit_classifier(train, "label"))
     gap = F.abs(F.avg(fitted.probability()) - F.avg(F.col("label").cast("double")))
     return train.agg((gap < 0.001).alias("balanced"))
+
+
+_SPLIT = {"split": "SELECT *, CAST('0x' || left(md5('42|' || CAST(customer_id AS VARCHAR)), 8) AS BIGINT) % 10000 < 7000 AS training FROM customers"}
+
+
+@query("customers", "SELECT customer_id, CASE WHEN training THEN 'train' ELSE 'test' END AS part FROM split", _SPLIT)
+def training_split(spark, d):
+    parts = models.split_rows(customers(spark, d).select("customer_id"), ["customer_id"])
+    named = [rows.withColumn("part", F.lit(name)) for rows, name in zip(parts, ("train", "test"))]
+    return named[0].unionByName(named[1])
+
+
+@query("customers", "SELECT customer_id, CASE WHEN label = 0 THEN 0 ELSE 1 END AS label, TRUE AS fits FROM split WHERE NOT training", _SPLIT)
+def held_out_rows(spark, d):
+    """The rows that a trained model is tried on, and whether their mark follows from probability and threshold."""
+    _, tested = models.train_customer_model(customers(spark, d), ["customer_id"])
+    predicted = (F.col("probability") > models.SYNTHETIC_THRESHOLD).cast("int")
+    mark = F.when(F.col("prediction") == 0, "Y").otherwise("N")
+    fits = (F.col("prediction").cast("int") == predicted) & (F.col("is_real_customer") == mark) & (F.abs(F.col("confidence") + F.col("probability") - 1) < 1e-9)
+    return tested.select("customer_id", "label", fits.alias("fits"))
+
+
+@query(
+    "customers",
+    "SELECT CASE WHEN label = 0 THEN 0 ELSE 1 END AS label, count(*) AS row_count, TRUE AS within FROM split WHERE NOT training GROUP BY ALL",
+    _SPLIT,
+)
+def evaluated_rows(spark, d):
+    """What the quality of a trained model is measured on: rows per label, with accuracy and area in their ranges."""
+    _, tested = models.train_customer_model(customers(spark, d), ["customer_id"])
+    rows = written(tested.select("label", F.col("prediction").cast("int").alias("prediction"), F.col("probability").alias("score")), "tested")
+    quality = evaluate.metrics(rows).first()
+    cells = {(r["label"], r["prediction"]): r["row_count"] for r in evaluate.confusion(rows).collect()}
+    right = sum(n for (label, prediction), n in cells.items() if label == prediction)
+    area = evaluate.area_under_roc(rows).first()[0]
+    within = abs(quality["accuracy"] - right / sum(cells.values())) < 1e-12 and 0 <= area <= 1
+    return rows.groupBy("label").agg(F.count("*").alias("row_count")).withColumn("within", F.lit(within))
+
+
+@query("", "SELECT TRUE AS balanced, count(*) AS row_count FROM embeddings")
+def usage_classifier_balance(spark, d):
+    """At the optimum of an unpenalised fit the mean probability equals the share of test users."""
+    featured = models.assemble(_points(spark, d), ["embedding"])
+    _, predictions = models.fit_usage_classifier(featured, "is_test_user")
+    chance = vector_to_array("probability")[1]
+    gap = F.abs(F.avg(chance) - F.avg(F.col("is_test_user").cast("double")))
+    return predictions.agg((gap < 0.001).alias("balanced"), F.count("*").alias("row_count"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidegate.plans import ordering, patterns
 from tidegate.plans.keys import beside, matching
-from tidegate.plans.skew import salted_join, thinned
+from tidegate.plans import sieve
+from tidegate.plans.sieve import likely
+from tidegate.plans.skew import measured_join, salted_join, thinned
 from tidegate.session import path_exists, scratch_path, shared_root, written
 
 
@@ -149,3 +151,28 @@ def test_shared_folder(spark, rows):
     assert rows(df) == [(i,) for i in range(5)]
     path = scratch_path(spark, "x")
     assert path != scratch_path(spark, "x") and not path_exists(spark, path)
+
+
+def test_measured_join_with_hot_keys(spark, rows):
+    facts = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 11).alias("k"))
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(5, 9)], "k long, v string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        for most in (30, 1000):
+            joined = measured_join(facts, lookup, ["k"], ["id"], how, most)
+            assert joined.columns == facts.join(lookup, "k", how).columns and rows(joined) == rows(facts.join(lookup, "k", how))
+    with pytest.raises(ValueError):
+        measured_join(facts, lookup, ["k"], ["id"], "full")
+    assert measured_join(facts.limit(0), lookup, ["k"], ["id"]).count() == 0
+
+
+def test_sieve_keeps_all_wanted_and_few_others(spark):
+    every = spark.range(200_000).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("name"), F.col("id").alias("_bits"))
+    wanted = every.filter("_bits % 40 = 0").select(F.col("name").alias("w"))
+    found = likely(every.unionByName(spark.createDataFrame([(None, -1)], "name string, _bits long")), "name", wanted)
+    assert found.columns == ["name", "_bits"]
+    kept = {r["_bits"] for r in found.collect()}
+    assert {k for k in range(0, 200_000, 40)} <= kept and len(kept) < 5000 + 200_000 / 12
+    assert likely(every, "name", wanted.limit(0)).count() == 0
+    assert sieve.sieve_size(0) == 1 << 15 and sieve.sieve_size(1 << 24) == 1 << 28 and sieve.sieve_size((1 << 24) + 1) is None
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

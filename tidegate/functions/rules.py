@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.plans.skew import salted_join
+from tidegate.plans.skew import measured_join
 
 # Words and numbers that mark a made-up customer. Words match anywhere, numbers and dates only whole.
 INDICATORS = {
@@ -101,14 +101,15 @@ def with_valid_flags(
 ) -> DataFrame:
     """Add flags for first names and ZIP codes found in the lists of valid ones, and the hybrid score.
 
-    The lists are joined, not inlined, so they may grow; rows of a frequent name are spread over several tasks.
+    The lists are joined, not inlined, so they may grow; rows of a frequent name are spread over as
+    many tasks as they need.
     """
     roles = role_columns(df.columns, mapping)
     names = valid_names.select(F.col(valid_names.columns[0]).alias("_name")).filter("_name IS NOT NULL").distinct()
     zips = valid_zips.select(F.col(valid_zips.columns[0]).alias("_zip")).filter("_zip IS NOT NULL").distinct()
     out = df.select("*", roles["first_name"].alias("_name"), roles["zip_code"].alias("_zip"))
-    out = salted_join(out, names.withColumn("_name_ok", F.lit(True)), ["_name"], df.columns, "left")
-    out = salted_join(out, zips.withColumn("_zip_ok", F.lit(True)), ["_zip"], df.columns, "left")
+    out = measured_join(out, names.withColumn("_name_ok", F.lit(True)), ["_name"], df.columns, "left")
+    out = measured_join(out, zips.withColumn("_zip_ok", F.lit(True)), ["_zip"], df.columns, "left")
     flags = {"valid_name_flag": _flag(F.col("_name_ok")), "valid_zip_flag": _flag(F.col("_zip_ok"))}
     out = out.select(*df.columns, *[flag.alias(name) for name, flag in flags.items()])
     return out.withColumn("hybrid_score", total(VALID_FLAGS) - total(FLAGS))

@@ -34,8 +34,12 @@ CLUSTER_SEED = 1
 
 
 def split_rows(df: DataFrame, keys: Sequence[str], share: float = TRAIN_SHARE, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key: the same rows on any cluster, and copies of a row stay together."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(10000))
+    """Train and test rows by a hash of the key: the same rows on any cluster, and copies of a row stay together.
+
+    The hash is the first eight digits of the MD5 of the seed and the keys, joined by ``|``; a missing key counts as empty.
+    """
+    spelled = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    bucket = F.conv(F.left(F.md5(spelled), F.lit(8)), 16, 10).cast("long") % 10000
     cut = round(share * 10000)
     return df.filter(bucket < cut), df.filter(bucket >= cut)
 

@@ -58,3 +58,27 @@ def open_process_logs(meta: Meta, runs: DataFrame, started: Column) -> DataFrame
 def close_process_logs(logs: DataFrame, outcomes: DataFrame, ended: Column) -> DataFrame:
     """Set end time, counts and status of the entries named in ``outcomes``; a NULL outcome keeps the old value."""
     return fill_update(logs, outcomes.withColumn("end_time", ended), "process_log_id")
+
+
+def detail_rows(meta: Meta, steps: DataFrame, created: Column) -> DataFrame:
+    """Rows for the detail log, one per step of a process, with ids that follow the highest one.
+
+    ``steps`` has process_log_id, step (their order within a log entry), process_name, log_detail_message, start_time and end_time, and perhaps
+    sql_query and total_row_cnt. ``elapsed_duration`` is in whole seconds; a step that has not ended has none.
+    """
+    require_columns(steps, ["process_log_id", "step", "process_name", "log_detail_message", "start_time", "end_time"], "steps")
+    first = next_id(meta.process_log_detail, "process_log_detail_id")
+    numbered = number_rows(steps, [F.col("process_log_id"), F.col("step")], "process_log_detail_id", first)
+    elapsed = F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))
+    return schemas.conform(numbered.withColumns({"elapsed_duration": elapsed, "created_date": created}), schemas.META_SCHEMAS["process_log_detail"])
+
+
+def elapsed_by_process(details: DataFrame) -> DataFrame:
+    """Per process name of the detail log: steps, unfinished ones, seconds in all and at most, rows."""
+    return details.groupBy("process_name").agg(
+        F.count(F.lit(1)).alias("steps"),
+        F.count_if(F.col("elapsed_duration").isNull()).alias("unfinished"),
+        F.coalesce(F.sum("elapsed_duration"), F.lit(0)).cast("long").alias("seconds"),
+        F.max("elapsed_duration").alias("longest"),
+        F.coalesce(F.sum("total_row_cnt"), F.lit(0)).cast("long").alias("total_rows"),
+    )

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.functions.dates import elapsed_units
+from tidegate.functions.dates import elapsed_units, last_due
 from tidegate.meta import Meta
 from tidegate.operators.batches import current_batch_id
 from tidegate.plans.keys import require_columns
@@ -55,6 +55,23 @@ def late_sources(
     ).filter("current_batch_file_count < expected_number_of_files")
 
 
+def overdue_sources(meta: Meta, as_of: datetime | Column) -> DataFrame:
+    """Required file sources that have sent nothing since they were last due by ``receipt_frequency``, ``receipt_day`` and ``receipt_time``.
+
+    One row per source: when it was due, the time of its last file (NULL if there is none) and the whole hours that it is late. The registry is read once and
+    reduced per source before the join.
+    """
+    until = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    latest = meta.data_file.groupBy(F.col("object_id").alias("source_id")).agg(F.max("file_received_date").alias("last_received"))
+    objects = meta.data_object.filter(REQUIRED).select(F.col("object_id").alias("source_id"))
+    sources = meta.source.filter(F.contains(F.col("source_type"), F.lit("file"))).join(objects, "source_id", "left_semi")
+    due = last_due(F.col("receipt_frequency"), F.col("receipt_day"), F.col("receipt_time"), until)
+    listed = sources.select("source_id", "source_code", "receipt_frequency", due.alias("due")).filter("due IS NOT NULL")
+    late = listed.join(latest, "source_id", "left").filter(F.col("last_received").isNull() | (F.col("last_received").cast("timestamp_ntz") < F.col("due")))
+    hours = F.timestamp_diff("HOUR", F.col("due"), until.cast("timestamp_ntz"))
+    return late.select("source_id", "source_code", "receipt_frequency", "due", "last_received", hours.alias("hours_late"))
+
+
 def _required_sources(meta: Meta) -> DataFrame:
     required = meta.data_object.filter(REQUIRED).select(F.col("object_id").alias("source_id"), "required_ind")
     return meta.source.select("source_id", "source_code", "category").join(required, "source_id")

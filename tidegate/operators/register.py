@@ -14,6 +14,7 @@ from tidegate.operators.sources import file_objects
 from tidegate.plans.keys import require_columns
 from tidegate.plans.ordering import next_id, number_rows
 from tidegate.plans.patterns import glob_join
+from tidegate.plans.sieve import likely
 from tidegate.plans.skew import salted_join, thinned
 from tidegate.plans.turns import turn
 from tidegate.session import written
@@ -69,8 +70,10 @@ def match_objects(files: DataFrame, objects: DataFrame) -> DataFrame:
 
 def new_files(meta: Meta, listing: DataFrame, root: str = "/Files") -> DataFrame:
     """Landed files that fit an object and whose name is not in the registry yet."""
-    known = thinned(meta.data_file.select("filename"))
-    unknown = landed_files(listing, root).join(known, "filename", "left_anti")
+    # The registry is the large side: of its names only those that can be in the listing are shuffled.
+    landed = written(landed_files(listing, root), "landed")
+    known = thinned(likely(meta.data_file.select("filename"), "filename", landed.select("filename")))
+    unknown = landed.join(known, "filename", "left_anti")
     # New files are few beside the registry and are needed several times below: compare with the registry once.
     return match_objects(written(unknown, "unknown"), file_objects(meta))
 
