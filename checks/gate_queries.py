@@ -279,7 +279,8 @@ _DUE = {
   CAST(date_trunc(u, TIMESTAMP '1998-03-01 12:00:00') AS TIMESTAMP) - step AS past_start FROM units""",
     "moments": """SELECT *, this_start + INTERVAL 1 DAY * (least(d, CASE f WHEN 'DAILY' THEN 1 WHEN 'WEEKLY' THEN 7 ELSE day(last_day(this_start)) END) - 1) + tod AS due_now,
   past_start + INTERVAL 1 DAY * (least(d, CASE f WHEN 'DAILY' THEN 1 WHEN 'WEEKLY' THEN 7 ELSE day(last_day(past_start)) END) - 1) + tod AS due_before FROM starts""",
-    "latest": "SELECT object_id, max(modified_date) AS received FROM data_file WHERE file_id % 3 = 0 GROUP BY object_id",
+    "latest": """SELECT object_id, max(modified_date) AS received FROM data_file WHERE modified_date <= CASE WHEN object_id % 4 = 1 THEN TIMESTAMP '1997-12-01' ELSE TIMESTAMP '1998-03-01 12:00:00' END
+  GROUP BY object_id""",
 }
 
 
@@ -296,7 +297,7 @@ def overdue_sources(spark, d):
     n = F.col("source_id")
     time_of_day = F.when(n % 3 > 0, F.concat(F.lpad((n % 24).cast("string"), 2, "0"), F.lit(":30")))
     source = m.source.withColumns({"receipt_day": 1 + n % 40, "receipt_time": time_of_day})
-    files = m.data_file.filter("file_id % 3 = 0").withColumn("file_received_date", F.col("modified_date"))
+    files = m.data_file.filter("modified_date <= CASE WHEN object_id % 4 = 1 THEN TIMESTAMP_NTZ '1997-12-01' ELSE TIMESTAMP_NTZ '1998-03-01 12:00:00' END").withColumn("file_received_date", F.col("modified_date"))
     out = readiness.overdue_sources(m.with_tables(source=source, data_file=files), F.to_timestamp_ntz(F.lit("1998-03-01 12:00:00")))
     return out
 
