@@ -5,9 +5,12 @@ minimised by partition refinement. Its transition array is walked once over ever
 into lanes that are walked side by side. A lane starts in the state that the lane before it ended in: lanes that began with a wrong
 guess are walked again until they meet the states they had.
 
-The automaton says in which lines a rule ends a match. Exact spans, leftmost and non-overlapping per kind, are read from those
-lines only; no rule can match across a line feed, which is checked when the rules are compiled. Spans count code points, end
-exclusive. Null and empty texts have no spans. Rows are independent, so repeated rows and other columns change nothing.
+The automaton says in which lines a rule ends a match; only those lines are looked at again. There a rule's spans come from two
+small automata of its own, made the same way: one for the pattern backwards, which walked from the end of the line says where matches
+start, and one that from the first start on says how far the longest match goes. The next span starts behind that. So spans are leftmost and
+longest, and a match that is too short uses up its characters as well. No rule can match across a line feed, which is checked when the rules are compiled.
+Spans count code points, end exclusive. Null and empty texts have no spans. Rows are independent, so repeated rows and other columns
+change nothing.
 """
 
 from __future__ import annotations
@@ -48,6 +51,7 @@ MORE = (
 )
 RULES = BASE + MORE
 LANE = 512
+SAME, STRETCH = 32, 1 << 16  # bytes that keep a state before a stretch of them is looked at, and how many at once
 
 
 class Nfa:
@@ -127,18 +131,8 @@ class Automaton:
     hits: np.ndarray
 
 
-def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
-    nfa = Nfa()
-    root = nfa.state()
-    ends: dict[int, int] = {}
-    for number, rule in enumerate(rules):
-        begin = nfa.state()
-        nfa.free[root].append(begin)
-        end = nfa.add(_parser.parse(rule.pattern), begin, False)
-        ends[end] = 1 << number
-        if (counted := _counted(rule)) is not None:
-            del ends[end]
-            ends[nfa.add(counted, begin, False)] = 1 << number
+def _automaton(nfa: Nfa, root: int, ends: dict[int, int], search: bool) -> Automaton:
+    """Subset construction and minimisation. With ``search`` a match may begin at every byte, else only at the first one."""
 
     def closure(states) -> frozenset:
         seen, todo = set(states), list(states)
@@ -159,8 +153,8 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
         states = todo.pop(0)
         found.append(sum({ends[s] for s in states if s in ends}))
         row = []
-        for b in sample:  # the search may begin anew at every byte
-            after = closure([t for s in states for symbols, t in nfa.moves[s] if b in symbols] + [root])
+        for b in sample:
+            after = closure([t for s in states for symbols, t in nfa.moves[s] if b in symbols] + [root] * search)
             if after not in number:
                 number[after] = len(number)
                 todo.append(after)
@@ -169,6 +163,121 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
     return _minimal(classes, np.array(rows), np.array(found))
 
 
+def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
+    nfa = Nfa()
+    root = nfa.state()
+    ends: dict[int, int] = {}
+    for number, rule in enumerate(rules):
+        begin = nfa.state()
+        nfa.free[root].append(begin)
+        ends[nfa.add(_counted(rule) or _parser.parse(rule.pattern), begin, False)] = 1 << number
+    return _automaton(nfa, root, ends, True)
+
+
+def _backwards(parsed) -> list:
+    """A parsed sequence whose matches are those of ``parsed`` read from their end."""
+    out = []
+    for kind, value in reversed(list(parsed)):
+        if kind is op.SUBPATTERN:
+            value = (*value[:3], _backwards(value[3]))
+        elif kind is op.BRANCH:
+            value = (value[0], [_backwards(branch) for branch in value[1]])
+        elif kind in (op.MAX_REPEAT, op.MIN_REPEAT):
+            value = (value[0], value[1], _backwards(value[2]))
+        out.append((kind, value))
+    return out
+
+
+class Reader:
+    """Reads the spans of one rule in a line: the leftmost and longest matches behind each other."""
+
+    def __init__(self, rule: Rule):
+        self.rule = rule
+        parsed = _counted(rule) or list(_parser.parse(rule.pattern))
+        self.starts = self._of(_backwards(parsed), True)
+        self.longest = self._walker(parsed)
+        # The value whose length counts ends the match; it is a repeated class, and begins where what is before it can first end.
+        self.before = self.value = None
+        if rule.group:
+            self.before = self._walker(parsed[:-1])
+            self.value = self._walker(parsed[-1:])
+
+    @staticmethod
+    def _of(parsed, search: bool) -> Automaton:
+        nfa = Nfa()
+        root = nfa.state()
+        return _automaton(nfa, root, {nfa.add(parsed, root, False): 1}, search)
+
+    def _walker(self, parsed) -> tuple[bytes, list[list[int]], list[bool], int, np.ndarray]:
+        """Byte classes, moves and ends of an anchored automaton, the state from which no match comes, and which bytes keep a state."""
+        machine = self._of(parsed, False)
+        table = machine.table.reshape(-1, machine.width)
+        moves, ends = table.tolist(), [bool(h) for h in machine.hits]
+        dead = next((k for k, row in enumerate(moves) if not ends[k] and all(t == k for t in row)), -1)
+        return machine.classes.tobytes(), moves, ends, dead, table[:, machine.classes] == np.arange(len(table))[:, None]
+
+    @staticmethod
+    def _ends(walker: tuple, line: bytes, start: int) -> Iterator[int]:
+        """Where matches from ``start`` end, from shorter to longer."""
+        classes, moves, ends, dead, _ = walker
+        state = 0
+        for at in range(start, len(line)):
+            state = moves[state][classes[line[at]]]
+            if state == dead:
+                return
+            if ends[state]:
+                yield at + 1
+
+    @staticmethod
+    def _longest(walker: tuple, line: bytes, start: int) -> int:
+        """Where the longest match from ``start`` ends. A long stretch that keeps the state is passed over as an array."""
+        classes, moves, ends, dead, keeps = walker
+        state, end, at, same = 0, start, start, 0
+        while at < len(line):
+            after = moves[state][classes[line[at]]]
+            if after == dead:
+                break
+            at += 1
+            same = same + 1 if after == state else 0
+            state = after
+            while same >= SAME and at < len(line):
+                kept = keeps[state][np.frombuffer(line, dtype=np.uint8, count=min(STRETCH, len(line) - at), offset=at)]
+                step = len(kept) if kept.all() else int(kept.argmin())
+                at += step
+                if step < len(kept):
+                    same = 0
+            if ends[state]:
+                end = at
+        return end
+
+    def _value(self, line: bytes, start: int, end: int) -> int:
+        """Where the counted value of a match begins."""
+        for at in self._ends(self.before, line, start):
+            if at < end and next(self._ends(self.value, line[at : at + 1], 0), 0):
+                return at
+        return start
+
+    def spans(self, lines: list[bytes]) -> list[list[tuple[int, int]]]:
+        """Per line its spans; where matches start is found for all lines in one pass."""
+        data = b"\n".join(line[::-1] for line in lines)
+        at, _ = scan(self.starts, data)
+        at.sort()
+        firsts = np.cumsum([0] + [len(line) + 1 for line in lines])
+        cuts = np.searchsorted(at, firsts).tolist()
+        out = []
+        for k, line in enumerate(lines):
+            starts = (int(firsts[k]) + len(line) - 1 - at[cuts[k] : cuts[k + 1]])[::-1]
+            found, behind, place = [], 0, 0
+            while (place := place + int(np.searchsorted(starts[place:], behind))) < len(starts):
+                start = int(starts[place])
+                end = self._longest(self.longest, line, start)
+                if end - (self._value(line, start, end) if self.before else start) >= self.rule.least:
+                    found.append((start, end))
+                behind = end
+            out.append(found)
+        return out
+
+
 def _counted(rule: Rule):
     """For a rule that is a repeated class and nothing else, the class repeated as often as the shortest match that is kept.
 
@@ -251,26 +360,29 @@ def _lines(data: bytes, machine: Automaton) -> Iterator[tuple[int, int, int]]:
         yield (int(breaks[k - 1]) + 1 if k else 0), (int(breaks[k]) if k < len(breaks) else len(data)), found
 
 
-def found_in(texts: list[str | None], machine: Automaton, rules: tuple[Rule, ...] = RULES) -> list[list[tuple[int, int, int]]]:
+def found_in(
+    texts: list[str | None], machine: Automaton, rules: tuple[Rule, ...] = RULES, readers: list[Reader] | None = None
+) -> list[list[tuple[int, int, int]]]:
     """Per text its spans as ``start, number of the rule, end``, sorted."""
+    readers = readers or [Reader(r) for r in rules]
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = b"\n".join(raw)
     begins = np.cumsum([0] + [len(r) + 1 for r in raw])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    patterns = [re.compile(r.pattern, re.ASCII) for r in rules]  # letters in either case are those of the automaton, A to Z
-    last, chars_at, bytes_at = -1, 0, 0
+    marked, last, chars_at, bytes_at = [], -1, 0, 0
     for start, end, bits in _lines(data, machine):
         doc = int(np.searchsorted(begins, start, side="right")) - 1
         if doc != last:
             last, chars_at, bytes_at = doc, 0, int(begins[doc])
         chars_at += len(data[bytes_at:start].decode("utf-8", "surrogatepass"))
         bytes_at = start
-        line = data[start:end].decode("utf-8", "surrogatepass")
-        for number, rule in enumerate(rules):
-            if bits >> number & 1:
-                for m in patterns[number].finditer(line):
-                    if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                        out[doc].append((chars_at + m.start(), number, chars_at + m.end()))
+        marked.append((doc, data[start:end], bits, chars_at))
+    for number, reader in enumerate(readers):
+        mine = [m for m in marked if m[2] >> number & 1]
+        for (doc, line, _, chars), found in zip(mine, reader.spans([m[1] for m in mine]) if mine else ()):
+            # Code points before each byte: bytes that go on with one don't count.
+            before = range(len(line) + 1) if line.isascii() else np.cumsum([0, *((np.frombuffer(line, dtype=np.uint8) & 0xC0) != 0x80)])
+            out[doc] += [(chars + int(before[a]), number, chars + int(before[b])) for a, b in found]
     return [sorted(spans) for spans in out]
 
 
@@ -283,7 +395,7 @@ AT_ONCE = 4 << 20
 
 def secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per row of ``docs``: doc_id, the number of spans of each base kind, a digest of the base spans, and all spans."""
-    machine = compile_rules(rules)
+    machine, readers = compile_rules(rules), [Reader(r) for r in rules]
     base = len(BASE)
 
     def batches(texts: list) -> Iterator[list]:
@@ -299,7 +411,7 @@ def secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [spans for some in batches(list(frame["text"])) for spans in found_in(some, machine, rules)]
+            found = [spans for some in batches(list(frame["text"])) for spans in found_in(some, machine, rules, readers)]
             first = [[s for s in spans if s[1] < base] for spans in found]
             yield pd.DataFrame(
                 {
