@@ -48,6 +48,17 @@ def test_threshold_and_validation_in_the_load(spark, tmp_path, rows):
     assert stage.read_stage(spark, out).count() == 9
 
 
+def test_a_source_without_stage_name_is_loaded(spark, tmp_path):
+    land(tmp_path, "cust_1.csv", "id,name,at\n1,a,\n")
+    for k, name in enumerate((None, "", "A/b c=%")):
+        m = control(spark, feed=FEED)
+        m = received(spark, m.with_tables(source=m.source.withColumn("stage_name", F.lit(name).cast("string"))), tmp_path)
+        for _ in range(2):
+            outcomes = stage.stage_files(m, f"{tmp_path}/Files", f"{tmp_path}/out{k}")
+            assert outcomes.first()["row_count"] == 1
+            assert [(r["id"], r["stage_name"], r["file_id"]) for r in spark.read.parquet(f"{tmp_path}/out{k}").collect()] == [(1, name or None, 1)]
+
+
 def test_a_load_reads_each_file_once(spark, tmp_path):
     """Nothing of the landed files or of the staged columns is read again to count rows."""
     land(tmp_path, "cust_1.csv", "id,name,at\n1,a,\n")

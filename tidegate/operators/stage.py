@@ -324,12 +324,13 @@ def stage_files(
         return _load(spark, group, _layout(json.loads(form)), folder, model, failures)
 
     with ThreadPoolExecutor(LAYOUTS_AT_ONCE, initializer=use_here, initargs=(spark,)) as pool:  # jobs of different layouts fill the cluster together
-        loaded = pool.map(load, [r["layout"] for r in ready.select("layout").distinct().collect()])
+        layouts = ready.select("layout", "stage_name").distinct().collect()
+        loaded = pool.map(load, sorted({r["layout"] for r in layouts}))
         parts = [part for some in loaded for part in some]
     counts = written(_counts(spark, parts), "counts")
     outcomes = _over_limits(_outcomes(spark, files, counts, failures), meta.data_object)
     outcomes = _validated(written(outcomes, "counted"), counts, meta)
-    _publish(outcomes, counts, qualified(spark, out), run)
+    _publish(outcomes, counts, {r["stage_name"] for r in layouts}, qualified(spark, out), run)
     if parts:
         remove_folder(spark, folder)
     return outcomes
@@ -455,14 +456,15 @@ def _validated(outcomes: DataFrame, counts: DataFrame, meta: Meta) -> DataFrame:
         return outcomes
     spark = outcomes.sparkSession
     good = written(loaded.join(counts.select("file_id", "part"), "file_id").select("file_id", "object_id", "part"), "good")
+    places = good.select("object_id", "part").distinct().collect()
+    stored = {part: spark.read.parquet(part) for part in {r["part"] for r in places}}
 
     def rows(source_id: int) -> DataFrame | None:
-        mine = good.filter(F.col("object_id") == source_id)
-        stored = [spark.read.parquet(r["part"]) for r in mine.select("part").distinct().collect()]
-        if not stored:
+        mine = [stored[r["part"]] for r in places if r["object_id"] == source_id]
+        if not mine:
             return None
-        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stored)
-        return every.join(mine.select("file_id"), "file_id", "left_semi")
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), mine)
+        return every.join(good.filter(F.col("object_id") == source_id).select("file_id"), "file_id", "left_semi")
 
     found = validate(spark, {r["source_id"]: r["post_validation_sql"] for r in asked}, rows)
     failed = found.filter("status <> 'PASSED'").select(F.col("source_id").alias("_source"), "message")
@@ -470,18 +472,16 @@ def _validated(outcomes: DataFrame, counts: DataFrame, meta: Meta) -> DataFrame:
     return written(_refused(marked, F.concat(F.lit("Validation: "), "message")).select(*outcomes.columns), "validated")
 
 
-def _publish(outcomes: DataFrame, counts: DataFrame, out: str, run: str) -> None:
+def _publish(outcomes: DataFrame, counts: DataFrame, stages: set[str], out: str, run: str) -> None:
     """Replace the partitions of loaded files by what the run wrote for them; a file without rows leaves none."""
-    spark = outcomes.sparkSession
-    loaded = outcomes.filter("reject_reason IS NULL").select("file_id", "stage_name")
-    stages = [r["stage_name"] for r in loaded.select("stage_name").distinct().collect()]
     if not stages:
         return
-    names = spark.createDataFrame([(s, partition_name(spark, "stage_name", s)) for s in stages], "stage_name string, _stage string")
+    spark = outcomes.sparkSession
+    names = spark.createDataFrame([(s, partition_name(spark, "stage_name", s)) for s in stages], "_name string, _stage string")
+    loaded = outcomes.filter("reject_reason IS NULL").select("file_id", "stage_name")
     below = F.concat(F.col("_stage"), F.lit("/file_id="), F.col("file_id").cast("string"))
-    placed = loaded.join(names, "stage_name").join(counts.select("file_id", "part"), "file_id", "left")
-    pairs = placed.select(F.concat("part", F.lit("/"), below).alias("src"), F.concat(F.lit(f"{out}/"), below).alias("dst"))
-    replace_folders(written(pairs, "publish"), out, run)
+    placed = loaded.join(names, F.col("stage_name").eqNullSafe(F.col("_name"))).join(counts.select("file_id", "part"), "file_id", "left")
+    replace_folders(placed.select(F.concat("part", F.lit("/"), below).alias("src"), F.concat(F.lit(f"{out}/"), below).alias("dst")), out, run)
 
 
 def registry_after_load(registry: DataFrame, outcomes: DataFrame, modified: Column, status: str = COMPLETED) -> DataFrame:

@@ -120,6 +120,6 @@ def remove_folders(folders: DataFrame, root: str) -> None:
 
 
 def partition_name(spark: SparkSession, column: str, value: object) -> str:
-    """A partition's folder name, as Spark's writers spell it."""
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    return f"{column}={escape(str(value))}"
+    """A partition's folder name, as Spark's writers spell it; a NULL and an empty text share one."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{column}={utils.escapePathName(str(value)) if value not in (None, '') else utils.DEFAULT_PARTITION_NAME()}"
