@@ -84,6 +84,16 @@ def piece_tokens(pieces) -> list[bytes]:
     return [spelled(i) for i in range(pieces.get_piece_size())]
 
 
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return bool(np.frombuffer(text.encode("utf-32-le"), dtype="<u4").max() <= LATIN)
+    return True
+
+
 class Aligner:
     def __init__(self, vocabulary: str, ranks: str, pieces: str):
         os.environ.setdefault("OMP_NUM_THREADS", "1")
@@ -99,12 +109,11 @@ class Aligner:
 
     def ids_a(self, text: str) -> list[int]:
         """By the quick encoder where it gives the same ids: see ``packing``."""
-        latin = text.isascii() or np.frombuffer(text.encode("utf-32-le"), dtype="<u4").max() <= LATIN
-        if latin and not self.spaces.search(text):
+        if _latin(text) and not self.spaces.search(text):
             return self.encoder.quick.encode_ordinary(text)
         return self.encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def align(self, text: str | None, ids_b: list[int]) -> tuple[list[int], list[int], np.ndarray, np.ndarray] | None:
+    def align(self, text: str | None, ids_b: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids of A and of B, and for each group the number of the token that closes it, in A and in B."""
         if not text:
             return None
@@ -115,9 +124,10 @@ class Aligner:
         ends_a, ends_b = self.a.ends(ids_a), self.b.ends(ids_b)
         at_a, at_b = dict(zip(ends_a, range(len(ids_a)))), dict(zip(ends_b, range(len(ids_b))))
         common = sorted(at_a.keys() & at_b.keys())
-        return ids_a, ids_b, np.fromiter(map(at_a.__getitem__, common), dtype=np.int64), np.fromiter(map(at_b.__getitem__, common), dtype=np.int64)
+        last_a, last_b = (np.fromiter(map(at.__getitem__, common), dtype=np.int64, count=len(common)) for at in (at_a, at_b))
+        return np.array(ids_a), np.array(ids_b), last_a, last_b
 
-    def groups(self, ids_a: list[int], ids_b: list[int], last_a: np.ndarray, last_b: np.ndarray) -> bytes:
+    def groups(self, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3`` in ASCII: the slices of both lists, in order."""
         n, m = len(ids_a), len(ids_b)
         signs = np.empty(n + m, dtype=np.int64)
@@ -170,7 +180,7 @@ def aligned(docs: DataFrame, named: tuple[str, str, str], keep_groups: bool = Tr
                 return none
             ids_a, ids_b, last_a, last_b = found
             spelled = aligner.groups(*found)
-            pairs, times = np.unique(np.array(ids_a)[last_a] << 32 | np.array(ids_b)[last_b], return_counts=True)
+            pairs, times = np.unique(ids_a[last_a] << 32 | ids_b[last_b], return_counts=True)
             digest = hashlib.sha256(spelled).hexdigest()
             return len(ids_a), len(ids_b), len(last_a), spelled.decode() if keep_groups else None, digest, pairs, times
 
