@@ -184,7 +184,11 @@ def purged_partitions(spark, d):
     m = meta(spark, d).with_tables(data_file=written(few.withColumn("file_status", F.lit("COMPLETED")), "few"), source=source)
     out = scratch_path(spark, "bronze")
     rows = m.data_file.select("file_id", stage_name.alias("stage_name"), F.col("file_id").alias("value"))
-    rows.repartition("file_id").write.partitionBy("stage_name", "file_id").parquet(out)
+    # A fixed number of partitions, which adaptive execution does not merge into one task, however many files that would open; tasks move
+    # what they wrote to its place themselves, since the folder is new and read only after the write.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = rows.repartition(parts, "file_id").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.partitionBy("stage_name", "file_id").parquet(out)
     registry = written(purge.purge_files(m, out, NOW), "after")
     left = stage.read_stage(spark, out).select("file_id").distinct().withColumn("here", F.lit(1))
     joined = registry.join(left, "file_id", "left")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_files import NOW, control, land, received
+from checks import gate_queries
 from tidegate import schemas
 from tidegate.operators import declared, pulls, purge, register, stage
 from tidegate.operators.validate import refusal, validate
@@ -321,3 +322,18 @@ def test_runs_at_once_share_no_id_and_no_file(spark, tmp_path):
     again = spark.read.parquet(f"{folder}/data_file").limit(1)
     with pytest.raises(RuntimeError, match="already"):
         register._unknown(spark.read.parquet(f"{folder}/data_file"), again, "file_id")
+
+
+def test_one_partition_a_file_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    suppliers = spark.sql("SELECT id AS s_suppkey, CAST(id % 5 AS INT) AS s_nationkey, concat('Supplier#', id) AS s_name FROM range(60)")
+    suppliers.write.parquet(f"{tmp_path}/t/supplier.parquet")
+    tasks, purged = set(), purge.purge_files
+
+    def look(m, out, now):
+        tasks.update(r["path"].rsplit("/", 1)[1][:10] for r in list_files(spark, out).select("path").collect())
+        return purged(m, out, now)
+
+    monkeypatch.setattr(gate_queries.purge, "purge_files", look)
+    found = {(r["object_id"], r["file_status"]): (r["files"], r["staged_files"]) for r in gate_queries.purged_partitions(spark, f"{tmp_path}/t").collect()}
+    assert len(tasks) > 1
+    assert found == {(k, s): n for k in range(1, 6) for s, n in (("COMPLETED", (2, 2)), ("PURGED", (10, 0)))}
