@@ -324,6 +324,20 @@ def test_runs_at_once_share_no_id_and_no_file(spark, tmp_path):
         register._unknown(spark.read.parquet(f"{folder}/data_file"), again, "file_id")
 
 
+def test_new_rows_meet_the_table_without_a_broadcast_of_it(spark, tmp_path):
+    wide = ", ".join(f"CAST(NULL AS STRING) AS c{k}" for k in range(20))
+    spark.sql(f"SELECT id AS batch_id, {wide} FROM range(1000)").write.parquet(f"{tmp_path}/table")
+    spark.range(990, 2000, 10).withColumnRenamed("id", "batch_id").write.parquet(f"{tmp_path}/new")
+    table, new = spark.read.parquet(f"{tmp_path}/table"), spark.read.parquet(f"{tmp_path}/new")
+    clashes = register._clashes(table, new, "batch_id")
+    plan = clashes._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin [batch_id" not in plan
+    assert [r[0] for r in clashes.collect()] == [990]
+    with pytest.raises(RuntimeError, match="already"):
+        register._unknown(table, new, "batch_id")
+    register._unknown(table, new.filter("batch_id >= 1000"), "batch_id")
+
+
 def test_one_partition_a_file_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
     suppliers = spark.sql("SELECT id AS s_suppkey, CAST(id % 5 AS INT) AS s_nationkey, concat('Supplier#', id) AS s_name FROM range(60)")
     suppliers.write.parquet(f"{tmp_path}/t/supplier.parquet")

@@ -73,7 +73,7 @@ def new_files(meta: Meta, listing: DataFrame, root: str = "/Files") -> DataFrame
     # The registry is the large side: of its names only those that can be in the listing are shuffled.
     landed = written(landed_files(listing, root), "landed")
     known = thinned(likely(meta.data_file.select("filename"), "filename", landed.select("filename")))
-    unknown = landed.join(known, "filename", "left_anti")
+    unknown = landed.join(known.hint("merge"), "filename", "left_anti")
     # New files are few beside the registry and are needed several times below: compare with the registry once.
     return match_objects(written(unknown, "unknown"), file_objects(meta))
 
@@ -120,10 +120,21 @@ def receive(meta: Meta, listing: DataFrame, batch_name: str, received: datetime,
     return register_files(meta, listing, received, batch_name=batch_name, root=root)
 
 
+def _clashes(table: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """Values of a column of ``rows``, which should be written, that the table has.
+
+    Of the table only what can be among the rows is shuffled, and nothing of it is broadcast: Spark takes one column of a
+    compressed file for much smaller than it is in the driver's memory.
+    """
+    new = rows.select(column)
+    held = thinned(likely(table.select(column), column, new))
+    return new.join(held.hint("merge"), column, "left_semi")
+
+
 def _unknown(table: DataFrame, rows: DataFrame, *columns: str) -> None:
     """Refuse rows whose value in one of the columns the table has, or that share it among themselves."""
     for column in columns:
-        if not rows.select(column).join(thinned(table.select(column)), column, "left_semi").isEmpty():
+        if not _clashes(table, rows, column).isEmpty():
             raise RuntimeError(f"{column} of a new row is in the table already")
     if rows.select(columns[0]).distinct().count() < rows.count():
         raise RuntimeError(f"new rows share a {columns[0]}")
