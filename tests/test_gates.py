@@ -12,7 +12,7 @@ from test_files import NOW, control, land, received
 from checks import gate_queries
 from tidegate import schemas
 from tidegate.operators import declared, pulls, purge, register, stage
-from tidegate.operators.validate import refusal, validate
+from tidegate.operators.validate import by_cases, query_over, refusal, validate
 from tidegate.plans.ordering import number_lines
 from tidegate.plans.turns import turn
 from tidegate.sources import delimited, folders, headers
@@ -351,3 +351,42 @@ def test_one_partition_a_file_is_written_by_several_tasks(spark, tmp_path, monke
     found = {(r["object_id"], r["file_status"]): (r["files"], r["staged_files"]) for r in gate_queries.purged_partitions(spark, f"{tmp_path}/t").collect()}
     assert len(tasks) > 1
     assert found == {(k, s): n for k in range(1, 6) for s, n in (("COMPLETED", (2, 2)), ("PURGED", (10, 0)))}
+
+
+NOT_IN = [
+    "SELECT id FROM staged WHERE a NOT IN (SELECT b FROM staged WHERE id < {n})",
+    "SELECT id FROM staged WHERE staged.a NOT IN (SELECT b FROM staged WHERE id < {n}) OR id = 3",
+    "SELECT id FROM staged WHERE NOT (a IN (SELECT b FROM staged WHERE id < {n} -- note\n)) OR id = 3",
+    "SELECT id FROM staged WHERE NOT (a not in (SELECT b FROM staged WHERE id < {n}) OR id = 3)",
+    "WITH s AS (SELECT * FROM staged WHERE 'é😀' <> '') SELECT id FROM s WHERE a NOT IN (SELECT b FROM s WHERE b NOT IN (SELECT id FROM s WHERE id > 7) AND id < {n}) OR id = 3",
+    "SELECT id FROM staged WHERE id = 3 OR t NOT IN (SELECT b FROM staged WHERE id < {n})",
+    "SELECT id FROM staged o WHERE id = 3 OR a NOT IN (SELECT b FROM staged i WHERE i.id = o.id AND id < {n})",
+]
+
+
+@pytest.mark.parametrize("statement", NOT_IN)
+def test_not_in_by_cases(spark, rows, tmp_path, statement):
+    data = [(1, 1, 2, "1"), (2, None, 4, None), (3, 2, 2, "2"), (4, 5, None, "5"), (5, 4, 9, "4"), (6, None, 9, "9")]
+    spark.createDataFrame(data, "id int, a int, b int, t string").coalesce(1).write.parquet(f"{tmp_path}/staged")
+    staged = spark.read.parquet(f"{tmp_path}/staged")
+    staged.createOrReplaceTempView("staged")
+    try:
+        for n in (0, 4, 9):  # no rows, rows without a NULL, rows with one
+            text = statement.format(n=n)
+            with query_over(spark, text, {"staged": staged}) as found:
+                assert rows(found) == rows(spark.sql(text)), text
+    finally:
+        spark.catalog.dropTempView("staged")
+    for n, unknown in ((0, []), (4, [2, 6]), (9, [1, 2, 4, 6])):  # Spark itself takes what is unknown inside a condition for false
+        with query_over(spark, f"SELECT id FROM staged WHERE (a NOT IN (SELECT b FROM staged WHERE id < {n})) IS NULL", {"staged": staged}) as found:
+            assert rows(found) == [(i,) for i in unknown]
+
+
+def test_not_in_beside_other_conditions_compares_equal_values_only(spark):
+    staged = spark.range(100).selectExpr("IF(id % 10 = 0, NULL, id) AS id", "'x' AS email")
+    statement = "SELECT * FROM staged WHERE id NOT IN (SELECT id FROM staged WHERE id > 50) OR email LIKE '%test%'"
+    with query_over(spark, statement, {"staged": staged}) as found:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ExistenceJoin" in plan and "NestedLoop" not in plan
+    for kept in ("SELECT id FROM staged WHERE id NOT IN (1, 2)", "SELECT id FROM staged WHERE (id, id) NOT IN (SELECT 1, 2)"):
+        assert by_cases(spark, kept) == kept

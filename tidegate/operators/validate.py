@@ -2,18 +2,19 @@
 
 A statement selects from ``staged`` the rows that must not be there; it passes if there are none. Spark parses it first, and only a query is let
 through: one statement, no command or write anywhere in it, no table but ``staged`` and its own common table expressions, and
-no function that calls into the Java virtual machine.
+no function that calls into the Java virtual machine. ``column NOT IN (query)`` is run by cases of NULL, so that it is a join on equal values.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.session import use_here
@@ -22,6 +23,7 @@ STAGED = "staged"
 AT_ONCE = 4
 CLOSED = {"reflect", "java_method", "try_reflect"}
 PASSED, FAILED, REFUSED, ERROR = "PASSED", "FAILED", "REFUSED", "ERROR"
+IN_QUERY = re.compile(r"(NOT\s+)?IN\s*\((.*)\)", re.IGNORECASE | re.DOTALL)
 RESULT = "source_id long, status string, violations long, message string"
 
 
@@ -75,6 +77,49 @@ def refusal(spark: SparkSession, statement: str, known: Collection[str] = (STAGE
     return f"it reads {', '.join(other)}" if other else None
 
 
+def _place(node) -> tuple[int, int] | None:
+    """Where a parsed node stands in its statement."""
+    first, last = node.origin().startIndex(), node.origin().stopIndex()
+    return (first.get(), last.get() + 1) if first.isDefined() and last.isDefined() else None
+
+
+def _negated_in(spark: SparkSession, statement: str) -> tuple[int, int, str] | None:
+    """The last ``column NOT IN (query)`` of a statement: where it starts and ends, and the same by cases."""
+    last = None
+    for node, expression in _walk(spark, spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)):
+        if not expression or node.getClass().getSimpleName() != "Not" or node.child().getClass().getSimpleName() != "InSubquery":
+            continue
+        values = list(_elements(spark, node.child().values()))
+        if len(values) != 1 or values[0].getClass().getSimpleName() != "UnresolvedAttribute":
+            continue
+        value, rest = _place(values[0]), _place(node.child())
+        if value is None or rest is None or statement[value[1] : rest[0]].strip():
+            continue
+        found = IN_QUERY.fullmatch(statement[slice(*rest)])
+        if found is None or last and last[0] > value[0]:
+            continue
+        column, asked = statement[slice(*value)], f"(\n{found[2]}\n)"
+        cases = (
+            f"(CASE WHEN {column} IN {asked} THEN FALSE WHEN {column} IS NULL THEN (SELECT IF(count(*) = 0, TRUE, NULL) FROM {asked} AS _asked(_value))"
+            f" ELSE (SELECT IF(count(_value) < count(*), NULL, TRUE) FROM {asked} AS _asked(_value)) END)"
+        )
+        last = (value[0], rest[1], cases if found[1] else f"(NOT {cases})")
+    return last
+
+
+def by_cases(spark: SparkSession, statement: str) -> str:
+    """The statement with each ``column NOT IN (query)`` spelled by cases: found, NULL, or a NULL among the query's rows.
+
+    As it stands, Spark compares each row with each of the query's, or sends these to all executors whole, since a NULL on either side leaves
+    NOT IN unknown. What is found without NULLs is a join on equal values, and two numbers of the query's rows tell the rest.
+    The cases keep what is unknown as NULL, also where Spark takes it for false: in ``(a NOT IN (...)) IS NULL``.
+    """
+    while found := _negated_in(spark, statement):
+        start, end, cases = found
+        statement = statement[:start] + cases + statement[end:]
+    return statement
+
+
 @contextmanager
 def query_over(spark: SparkSession, statement: str, tables: Mapping[str, DataFrame]) -> Iterator[DataFrame]:
     """A statement that ``refusal`` lets through, over tables by their names; its result can be read inside the block."""
@@ -83,7 +128,16 @@ def query_over(spark: SparkSession, statement: str, tables: Mapping[str, DataFra
         for name, view in views.items():
             tables[name].createOrReplaceTempView(view)
         named = ", ".join(f"`{name}` AS (TABLE `{view}`)" for name, view in views.items())
-        yield spark.sql(f"WITH {named} SELECT * FROM (\n{statement}\n)")
+
+        def over(text: str) -> DataFrame:
+            return spark.sql(f"WITH {named} SELECT * FROM (\n{text}\n)")
+
+        result = over(statement)
+        try:
+            cases = over(by_cases(spark, statement))
+        except AnalysisException:  # a query that takes columns from around it may not fit into the cases
+            cases = result
+        yield cases if cases.dtypes == result.dtypes else result
     finally:
         for view in views.values():
             spark.catalog.dropTempView(view)
