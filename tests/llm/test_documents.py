@@ -352,6 +352,49 @@ def test_suffix_dedup(docs, rows_in, empty):
     assert suffix_dedup.removed(empty).count() == 0
 
 
+def test_contexts_meet():
+    """Every string is in one fragment, and equal strings have an anchor and a context in common, also in periodic texts."""
+    rnd = random.Random(5)
+    for trial in range(40):
+        letters = "ab" if trial % 2 else "abcdefgh"
+        unit = lambda n: "".join(rnd.choice(letters) for _ in range(n))
+        passages = [unit(rnd.randrange(50, 90)), unit(rnd.randrange(1, 9)) * 30, unit(1) * 700]
+        texts = [(unit(rnd.randrange(40)) + rnd.choice(passages) + unit(rnd.randrange(40)))[: rnd.randrange(1000)].encode() for _ in range(12)]
+        for contexts in (1, 2, 5):
+            values, owner, start, count, part, keys = suffix_dedup.fragments(texts, 50, 16, contexts)
+            known, found, covered = collections.defaultdict(set), collections.defaultdict(list), collections.Counter()
+            for f, key in zip(part.tolist(), keys.tolist()):
+                known[f].add(key)
+            for f, (value, t, a, n) in enumerate(zip(values.tolist(), owner.tolist(), start.tolist(), count.tolist())):
+                for k in range(a, a + n):
+                    covered[t, k] += 1
+                    found[texts[t][k : k + 50]].append((value, known[f]))
+            assert covered == collections.Counter((t, k) for t, x in enumerate(texts) for k in range(len(x) - 49))
+            for same in found.values():
+                assert len({value for value, _ in same}) == 1 and set.intersection(*(k for _, k in same))
+
+
+def test_a_hot_line_is_sorted_once(monkeypatch):
+    """Fragments at the borders of a line that many texts share are cut to the line before their suffixes are sorted."""
+    rnd, sizes = random.Random(9), []
+    line = "".join(rnd.choice("abcdefghijklmnop ") for _ in range(90))
+    border = [bytes([k]) for k in range(128, 248)]  # no two texts have the same byte next to the line
+    texts = [prose(12, rnd).encode() + b + line[: rnd.choice([90, 90, 90, 75])].encode() + b + prose(12, rnd).encode() for b in border]
+    _, owner, start, count, _, _ = suffix_dedup.fragments(texts, 50, 16)
+    parts = list(dict.fromkeys(texts[t][a : a + n + 49] for t, a, n in zip(owner.tolist(), start.tolist(), count.tolist())))
+    smallest = [rnd.randrange(1000) for _ in parts]
+    sort = suffix_dedup.sorted_suffixes
+    monkeypatch.setattr(suffix_dedup, "sorted_suffixes", lambda runs: sizes.append(sum(map(len, runs))) or sort(runs))
+    of, begin, end, least = suffix_dedup.smallest_owners(parts, np.array(smallest), 50)
+    expected = {}
+    for p, doc in zip(parts, smallest):
+        for k in range(len(p) - 49):
+            expected[p[k : k + 50]] = min(doc, expected.get(p[k : k + 50], doc))
+    got = {(f, k): int(d) for f, a, b, d in zip(of.tolist(), begin.tolist(), end.tolist(), least) for k in range(a, b)}
+    assert got == {(f, k): expected[p[k : k + 50]] for f, p in enumerate(parts) for k in range(len(p) - 49)}
+    assert sum(sizes) < 10 * len(line) < sum(len(p) for p in parts if line[8:40].encode() in p)
+
+
 def test_surrogates(spark, docs, empty):
     texts = [
         "Call +1 (017) 555-7713 or +1 017 555 7713; Bob.X@Mail.example.com, bob.x@mail.example.com. 12.34.56.78",

@@ -2,11 +2,14 @@
 
 Exact copies of a text are one text, owned by its smallest doc_id. Texts are dealt into shards. Each string of ``SPAN`` bytes has
 an anchor, the smallest hash of the ``ANCHOR``-byte strings in it, so equal strings have equal anchors, and neighbouring strings
-mostly share theirs. Anchors that occur in one text only can't belong to a repeated string. The others' fragments (the bytes of
-neighbouring strings with the same anchor) go to the shard of their anchor, equal ones of a shard once, with the smallest and
-largest doc_id. There the suffixes of all different fragments are put in order by induced sorting (``induced``), whose common
-prefixes say which strings are equal; fragments whose anchor has no other fragment need no order. The smallest owner of each
-string goes back to the shards of the texts. Hash values only decide where strings are compared, never whether they are equal.
+mostly share theirs. An anchor lies at the same place of equal strings, so they also have its context in common: the bytes around
+it that are in all strings with the anchor in that part of them. Contexts that occur in one text only can't belong to a repeated
+string. The others' fragments (the bytes of neighbouring strings with the same anchor) go to the place of their anchor, equal ones
+of a shard once, with the smallest and largest doc_id. There the different fragments are cut to the runs of strings whose hash is in
+another one too, and equal runs become one. The suffixes of the runs that still have such a string are put in order by induced
+sorting (``induced``), whose common prefixes say which strings are equal; strings that are in one fragment or run only need no
+order. The smallest owner of each string goes back to the shards of the texts. Hash values only decide where strings are compared,
+never whether they are equal.
 
 Null and empty texts have no bytes and lose nothing. Rows with the same doc_id are documents of their own, neither smaller than
 the other; a null doc_id is larger than all others. Other columns change nothing.
@@ -27,21 +30,24 @@ from tidegate.llm.induced import sorted_suffixes
 SPAN = 50
 ANCHOR = 16
 SHARD_BYTES = 8 << 20  # of text
-PLACE_BYTES = 2 << 20  # of text for each shard of anchors, whose fragments are at most a few times as much
-SLICE = 1 << 20
-MOST_STRINGS = 256  # of a fragment; a longer one goes on in the next
+PLACE_BYTES = 16 << 20  # of text for each shard of anchors, whose fragments are at most a few times as much
+SLICE = 1 << 17
+MOST_STRINGS = 256  # of a fragment, before the anchor moves; a longer one goes on in the next
+CONTEXTS = 2  # parts of a string in which its anchor can start
+POSITION = np.uint64((1 << 31) - 1)  # bits of a hash that give way to its position
 LAST = (1 << 62) - 1  # stands for a null doc_id
 ODD = tuple(np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def _hashes(data: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of each string of ``width`` bytes, 8 at least."""
+def _hashes(data: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each string of ``width`` bytes, 8 at least, or of those at some positions."""
     words = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
     n = len(data) - width + 1
-    out = words[:n] * ODD[0]
-    for at in [*range(8, width - 7, 8), *([width - 8] if width % 8 else [])]:
+    word = (lambda k: words[k : k + n]) if at is None else (lambda k: words[at + k])
+    out = word(0) * ODD[0]
+    for k in [*range(8, width - 7, 8), *([width - 8] if width % 8 else [])]:
         out = (out ^ (out >> np.uint64(31))) * ODD[2]
-        out += words[at : at + n] * ODD[1]
+        out += word(k) * ODD[1]
     out ^= out >> np.uint64(29)
     out *= ODD[2]
     return out ^ (out >> np.uint64(32))
@@ -55,35 +61,55 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - step)], values[width - step :]) if step < width else values
 
 
-def fragments(texts: list[bytes], span: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, text number, start and number of strings of every fragment."""
-    found, first = [], 0
+def fragments(texts: list[bytes], span: int, anchor: int, contexts: int = 0) -> tuple[np.ndarray, ...]:
+    """Anchor, text number, start and number of strings of every fragment; fragment and hash of every context.
+
+    A context is taken for each of ``contexts`` equal parts of a string in which the anchor of a fragment's string starts: what all
+    strings with their anchor there have in common.
+    """
+    found, first, so_far = [], 0, 0
+    borders = [-(-(span - anchor + 1) * k // contexts) for k in range(contexts + 1)] if contexts else []
     while first < len(texts):
         last, size = first, 0
         while last < len(texts) and (size < SLICE or last == first):
             size += len(texts[last])
             last += 1
-        lengths = np.array([len(t) for t in texts[first:last]], dtype=np.int64)
         if size >= span:
+            ends = np.cumsum([len(t) for t in texts[first:last]])
+            starts = np.r_[0, ends[:-1]]
             data = np.frombuffer(b"".join(texts[first:last]), dtype=np.uint8)
-            low = _lowest(_hashes(data, anchor), span - anchor + 1)
-            ends = np.cumsum(lengths)
-            starts = ends - lengths
-            text = np.repeat(np.arange(len(lengths)), lengths)[: len(low)]
-            cut = np.r_[True, (low[1:] != low[:-1]) | (text[1:] != text[:-1])]
+            hashes = _hashes(data, anchor)
+            # Of equal hashes the first counts, so that the anchors of equal strings are at the same place in them.
+            low = _lowest((hashes & ~POSITION) | np.arange(len(hashes), dtype=np.uint64), span - anchor + 1)
+            cut = np.r_[True, low[1:] != low[:-1]]
+            cut[starts[starts < len(low)]] = True
             at = np.flatnonzero(cut)
-            stop = np.minimum(np.r_[at[1:], len(low)], ends[text[at]] - span + 1)
-            count = stop - at
-            good = count > 0
-            at, count = at[good], count[good]
-            pieces = -(-count // MOST_STRINGS)
-            nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            at, count = np.repeat(at, pieces) + nth * MOST_STRINGS, np.repeat(count, pieces) - nth * MOST_STRINGS
-            which = text[at]
-            found.append((low[at], which + first, at - starts[which], np.minimum(count, MOST_STRINGS)))
+            text = np.searchsorted(ends, at, side="right")
+            stop = np.minimum(np.r_[at[1:], len(low)], ends[text] - span + 1)
+            good = stop > at
+            at, stop, text = at[good], stop[good], text[good]
+            place = (low[at] & POSITION).astype(np.int64)
+            value = hashes[place]
+            # Neighbours whose anchors are equal make one fragment.
+            new = np.r_[True, (value[1:] != value[:-1]) | (text[1:] != text[:-1])][: len(at)]
+            run = np.cumsum(new) - 1
+            nth = (at - at[new][run]) // MOST_STRINGS
+            new[1:] |= nth[1:] != nth[:-1]
+            head = np.flatnonzero(new)
+            count = stop[np.r_[head[1:], len(at)] - 1] - at[head] if len(head) else head
+            part, keys = [], []
+            of = np.cumsum(new) - 1 + so_far
+            before, least = place - at, place - stop + 1  # most and fewest bytes before the anchor in a string
+            for k in range(contexts):
+                use = np.flatnonzero((least < borders[k + 1]) & (before >= borders[k]))
+                part.append(of[use])
+                keys.append(_hashes(data, anchor + borders[k] + span - anchor - borders[k + 1] + 1, place[use] - borders[k]))
+            so_far += len(head)
+            none = np.zeros(0, dtype=np.int64)
+            found.append((value[head], text[head] + first, at[head] - starts[text[head]], count, np.concatenate([none, *part]), np.concatenate([none.astype(np.uint64), *keys])))
         first = last
     if not found:
-        return np.zeros(0, dtype=np.uint64), *(np.zeros(0, dtype=np.int64) for _ in range(3))
+        found = [tuple(np.zeros(0, dtype=np.uint64 if k in (0, 5) else np.int64) for k in range(6))]
     return tuple(np.concatenate(column) for column in zip(*found))
 
 
@@ -121,9 +147,95 @@ def _groups(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[order[a]]), order[a:b]
 
 
-def _place(anchors: np.ndarray, places: int) -> tuple[np.ndarray, np.ndarray]:
-    """The place of an anchor, and 32 bits that name it there."""
-    return ((anchors >> np.uint64(32)) % np.uint64(places)).astype(np.int64), anchors.astype(np.uint32)
+def _place(anchors: np.ndarray, places: int) -> np.ndarray:
+    return ((anchors >> np.uint64(32)) % np.uint64(places)).astype(np.int64)
+
+
+def _named(place: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The place of contexts, and 32 bits that name them there, in one number."""
+    return (place.astype(np.uint64) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
+
+
+def _in_several(keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the keys, the starts of equal ones in it, and whether those are of more than one ``of``."""
+    order = np.argsort(keys)
+    ranked, of = keys[order], of[order]
+    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]][: len(keys)])
+    return order, starts, np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts) if len(starts) else starts > 0
+
+
+def _shared(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Whether each key is also one of another ``of``."""
+    order, starts, several = _in_several(keys, of)
+    out = np.empty(len(keys), dtype=bool)
+    out[order] = np.repeat(several, np.diff(np.r_[starts, len(keys)]))
+    return out
+
+
+def _listed(which: np.ndarray, of: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """For rows in the order of ``of``: each of ``which`` with every row of its group, as places in ``which`` and rows."""
+    first = np.searchsorted(of, np.arange(groups + 1))
+    each = np.diff(first)[which]
+    at = np.repeat(np.arange(len(which)), each)
+    return at, np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each) + first[which[at]]
+
+
+def smallest_owners(parts: list[bytes], smallest: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Strings of different fragments, cut where the smallest owner may change: fragment, from, to, owner, by fragment."""
+    sizes = np.array([len(p) for p in parts], dtype=np.int64)
+    strings = sizes - span + 1
+    of = np.repeat(np.arange(len(parts)), strings)
+    offset = np.arange(len(of)) - np.repeat(np.cumsum(strings) - strings, strings)
+    hashes = _hashes(np.frombuffer(b"".join(parts), dtype=np.uint8), span, (np.cumsum(sizes) - sizes)[of] + offset)
+    shared = _shared(hashes, of)
+    new = np.r_[True, (of[1:] != of[:-1]) | (shared[1:] != shared[:-1])][: len(of)]
+    head = np.flatnonzero(new)
+    run_of, begin, again = of[head], offset[head], shared[head]
+    end = offset[np.r_[head[1:], len(of)] - 1] + 1 if len(head) else head
+    single = ~again
+    cuts = [(run_of[single], begin[single], end[single], smallest[run_of[single]])]
+    run_of, begin, end, head = run_of[again], begin[again], end[again], head[again]
+    if len(run_of):
+        number: dict[bytes, int] = {}
+        content = np.array([number.setdefault(parts[k][a : b + span - 1], len(number)) for k, a, b in zip(run_of.tolist(), begin.tolist(), end.tolist())])
+        runs = list(number)
+        least = np.full(len(runs), LAST, dtype=np.int64)
+        np.minimum.at(least, content, smallest[run_of])
+        one = np.empty(len(runs), dtype=np.int64)  # a run of each content
+        one[content] = np.arange(len(content))
+        length = (end - begin)[one]
+        which = np.repeat(np.arange(len(runs)), length)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(length) - length, length) + head[one][which]
+        several = np.unique(which[_shared(hashes[place], which)])
+        alone = np.ones(len(runs), dtype=bool)
+        alone[several] = False
+        alone = np.flatnonzero(alone)
+        inner = [(alone, np.zeros(len(alone), dtype=np.int64), length[alone], least[alone])]
+        if len(several):
+            inner.append(_by_suffixes([runs[k] for k in several], several, length[several], least[several], span))
+        inner_of, inner_begin, inner_end, owner = (np.concatenate(c) for c in zip(*inner))
+        order = np.argsort(inner_of, kind="stable")
+        inner_of, inner_begin, inner_end, owner = inner_of[order], inner_begin[order], inner_end[order], owner[order]
+        at, cut = _listed(content, inner_of, len(runs))
+        cuts.append((run_of[at], begin[at] + inner_begin[cut], begin[at] + inner_end[cut], owner[cut]))
+    fragment, begin, end, owner = (np.concatenate(c) for c in zip(*cuts))
+    order = np.argsort(fragment, kind="stable")
+    return fragment[order], begin[order], end[order], owner[order]
+
+
+def _by_suffixes(runs: list[bytes], names: np.ndarray, strings: np.ndarray, smallest: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``smallest_owners``, for runs that have strings in common, with the suffixes in order."""
+    at, shared, text_of, start_of = sorted_suffixes(runs)
+    run, offset = text_of[at], at - start_of[text_of[at]]
+    whole = offset < strings[run]
+    owner = np.where(whole, smallest[run], LAST)
+    starts = np.flatnonzero(np.r_[True, shared[1:] < span])
+    least = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.r_[starts, len(at)]))
+    run, offset, least = run[whole], offset[whole], least[whole]
+    order = np.lexsort((offset, run))
+    run, offset, least = run[order], offset[order], least[order]
+    new = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (least[1:] != least[:-1])])
+    return names[run[new]], offset[new], offset[np.r_[new[1:], len(order)] - 1] + 1, least[new]
 
 
 def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, place_bytes: int = PLACE_BYTES) -> DataFrame:
@@ -136,13 +248,11 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
     dealt = once.withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(shards)))
 
     def anchors(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        values, owner, _, _ = fragments(_owned(frame)[2], span, anchor)
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-        starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, dtype=np.int64)
-        ends = np.r_[starts[1:], len(values)][: len(starts)] - 1
-        many = owner[starts] != owner[ends]
-        place, name = _place(values[starts], places)
+        values, owner, _, _, part, keys = fragments(_owned(frame)[2], span, anchor, CONTEXTS)
+        names = _named(_place(values, places)[part], keys)
+        order, starts, many = _in_several(names, owner[part])
+        names = names[order][starts]
+        place, name = (names >> np.uint64(32)).astype(np.int64), names.astype(np.uint32)
         found = [(p, key[0], name[i].tobytes(), many[i].tobytes()) for p, i in _groups(place)]
         return pd.DataFrame(found, columns=["place", "shard", "names", "many"])
 
@@ -156,18 +266,19 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
         many[order[again]] = True
         many[order[np.r_[False, again[:-1]]]] = True
         shard = frame["shard"].to_numpy()
-        return pd.DataFrame([(shard[s], key[0], names[many][i].tobytes()) for s, i in _groups(source[many])], columns=["shard", "place", "names"])
+        names, source = names[many], source[many]
+        return pd.DataFrame([(shard[s], key[0], names[i].tobytes()) for s, i in _groups(source)], columns=["shard", "place", "names"])
 
     def candidates(key: tuple, frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         columns = ["place", "shard", "anchors", "low", "high", "sizes", "bytes"]
         if not len(frame) or not len(known):
             return pd.DataFrame([], columns=columns)
         _, docs_of, texts = _owned(frame)
-        values, owner, start, count = fragments(texts, span, anchor)
+        values, owner, start, count, part, keys = fragments(texts, span, anchor, CONTEXTS)
         wanted = np.sort(np.concatenate([(np.uint64(p) << np.uint64(32)) | np.frombuffer(b, dtype=np.uint32).astype(np.uint64) for p, b in zip(known["place"], known["names"])]))
-        place, name = _place(values, places)
-        asked = (place.astype(np.uint64) << np.uint64(32)) | name
-        hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, asked), len(wanted) - 1)] == asked)
+        place = _place(values, places)
+        asked = _named(place[part], keys)
+        hit = np.unique(part[wanted[np.minimum(np.searchsorted(wanted, asked), len(wanted) - 1)] == asked])
         seen: dict[bytes, list[int]] = {}
         for k, t, a, n in zip(hit.tolist(), owner[hit].tolist(), start[hit].tolist(), count[hit].tolist()):
             doc = int(docs_of[t])
@@ -202,32 +313,8 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
         np.minimum.at(smallest, content, low)
         value = np.zeros(len(parts), dtype=np.uint64)
         value[content] = values
-        strings = np.array([len(p) - span + 1 for p in parts], dtype=np.int64)
-        alone = np.unique(value, return_counts=True, return_inverse=True)
-        several = np.flatnonzero(alone[2][alone[1]] > 1)
-        # Strings of the fragments, cut where the smallest owner changes: fragment, from, to, owner.
-        single = np.flatnonzero(alone[2][alone[1]] == 1)
-        cuts = [(single, np.zeros(len(single), dtype=np.int64), strings[single], smallest[single])]
-        if len(several):
-            at, shared, text_of, start_of = sorted_suffixes([parts[k] for k in several])
-            fragment, offset = text_of[at], at - start_of[text_of[at]]
-            whole = offset < strings[several][fragment]
-            owner = np.where(whole, smallest[several][fragment], LAST)
-            starts = np.flatnonzero(np.r_[True, shared[1:] < span])
-            least = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.r_[starts, len(at)]))
-            fragment, offset, least = fragment[whole], offset[whole], least[whole]
-            order = np.lexsort((offset, fragment))
-            fragment, offset, least = fragment[order], offset[order], least[order]
-            new = np.flatnonzero(np.r_[True, (fragment[1:] != fragment[:-1]) | (least[1:] != least[:-1])])
-            to = offset[np.r_[new[1:], len(order)] - 1] + 1
-            cuts.append((several[fragment[new]], offset[new], to, least[new]))
-        of, begin, end, owner = (np.concatenate(c) for c in zip(*cuts))
-        order = np.argsort(of, kind="stable")
-        of, begin, end, owner = of[order], begin[order], end[order], owner[order]
-        first = np.searchsorted(of, np.arange(len(parts) + 1))
-        each = np.diff(first)[content]  # every occurrence gets the cuts of its fragment
-        which = np.repeat(np.arange(len(content)), each)
-        cut = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each) + first[content[which]]
+        of, begin, end, owner = smallest_owners(parts, smallest, span)
+        which, cut = _listed(content, of, len(parts))  # every occurrence gets the cuts of its fragment
         use = owner[cut] < high[which]
         which, cut = which[use], cut[use]
         digests = {k: hashlib.md5(parts[k]).digest() for k in np.unique(content[which]).tolist()}
@@ -244,7 +331,7 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
         names, docs_of, texts = _owned(frame)
         marks: dict[int, list[tuple[int, int]]] = {}
         if len(known):
-            values, owner, start, count = fragments(texts, span, anchor)
+            values, owner, start, count, _, _ = fragments(texts, span, anchor)
             array = lambda c, kind: np.concatenate([np.frombuffer(b, dtype=kind) for b in known[c]])
             asked = np.unique(array("anchors", np.uint64))
             digests, cuts = b"".join(known["digests"]), {}
