@@ -147,6 +147,22 @@ def _groups(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[order[a]]), order[a:b]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones: bytes that are much the same compress well."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind)[:, 0]
+
+
+def _numbered(texts: list[bytes], of: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers of the pieces of texts, equal ones having the same, in the order in which they come first; the different pieces."""
+    number: dict[bytes, int] = {}
+    each = [number.setdefault(texts[t][a:b], len(number)) for t, a, b in zip(of.tolist(), start.tolist(), (start + size).tolist())]
+    return np.array(each, dtype=np.int64), list(number)
+
+
 def _place(anchors: np.ndarray, places: int) -> np.ndarray:
     return ((anchors >> np.uint64(32)) % np.uint64(places)).astype(np.int64)
 
@@ -196,9 +212,7 @@ def smallest_owners(parts: list[bytes], smallest: np.ndarray, span: int) -> tupl
     cuts = [(run_of[single], begin[single], end[single], smallest[run_of[single]])]
     run_of, begin, end, head = run_of[again], begin[again], end[again], head[again]
     if len(run_of):
-        number: dict[bytes, int] = {}
-        content = np.array([number.setdefault(parts[k][a : b + span - 1], len(number)) for k, a, b in zip(run_of.tolist(), begin.tolist(), end.tolist())])
-        runs = list(number)
+        content, runs = _numbered(parts, run_of, begin, end - begin + span - 1)
         least = np.full(len(runs), LAST, dtype=np.int64)
         np.minimum.at(least, content, smallest[run_of])
         one = np.empty(len(runs), dtype=np.int64)  # a run of each content
@@ -253,11 +267,11 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
         order, starts, many = _in_several(names, owner[part])
         names = names[order][starts]
         place, name = (names >> np.uint64(32)).astype(np.int64), names.astype(np.uint32)
-        found = [(p, key[0], name[i].tobytes(), many[i].tobytes()) for p, i in _groups(place)]
+        found = [(p, key[0], _packed(np.diff(name[i], prepend=name.dtype.type(0))), many[i].tobytes()) for p, i in _groups(place)]  # names are in order
         return pd.DataFrame(found, columns=["place", "shard", "names", "many"])
 
     def repeated(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        names = [np.frombuffer(b, dtype=np.uint32) for b in frame["names"]]
+        names = [np.cumsum(_unpacked(b, np.uint32), dtype=np.uint32) for b in frame["names"]]
         many = np.concatenate([np.frombuffer(b, dtype=bool) for b in frame["many"]])
         source = np.repeat(np.arange(len(names)), [len(n) for n in names])
         names = np.concatenate(names)
@@ -267,90 +281,84 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
         many[order[np.r_[False, again[:-1]]]] = True
         shard = frame["shard"].to_numpy()
         names, source = names[many], source[many]
-        return pd.DataFrame([(shard[s], key[0], names[i].tobytes()) for s, i in _groups(source)], columns=["shard", "place", "names"])
+        return pd.DataFrame([(shard[s], key[0], _packed(np.diff(names[i], prepend=names.dtype.type(0)))) for s, i in _groups(source)], columns=["shard", "place", "names"])
 
     def candidates(key: tuple, frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        columns = ["place", "shard", "anchors", "low", "high", "sizes", "bytes"]
+        columns = ["place", "shard", "fragments", "low", "more", "sizes", "bytes"]
         if not len(frame) or not len(known):
             return pd.DataFrame([], columns=columns)
         _, docs_of, texts = _owned(frame)
         values, owner, start, count, part, keys = fragments(texts, span, anchor, CONTEXTS)
-        wanted = np.sort(np.concatenate([(np.uint64(p) << np.uint64(32)) | np.frombuffer(b, dtype=np.uint32).astype(np.uint64) for p, b in zip(known["place"], known["names"])]))
+        wanted = np.sort(np.concatenate([(np.uint64(p) << np.uint64(32)) | np.cumsum(_unpacked(b, np.uint32), dtype=np.uint32).astype(np.uint64) for p, b in zip(known["place"], known["names"])]))
         place = _place(values, places)
         asked = _named(place[part], keys)
         hit = np.unique(part[wanted[np.minimum(np.searchsorted(wanted, asked), len(wanted) - 1)] == asked])
-        seen: dict[bytes, list[int]] = {}
-        for k, t, a, n in zip(hit.tolist(), owner[hit].tolist(), start[hit].tolist(), count[hit].tolist()):
-            doc = int(docs_of[t])
-            entry = seen.setdefault(texts[t][a : a + n + span - 1], [k, doc, doc])
-            if doc < entry[1]:
-                entry[1] = doc
-            elif doc > entry[2]:
-                entry[2] = doc
-        parts = list(seen)
-        first, low, high = (np.array([e[i] for e in seen.values()], dtype=np.int64) for i in range(3))
+        content, parts = _numbered(texts, owner[hit], start[hit], count[hit] + span - 1)
+        low, high = np.full(len(parts), np.iinfo(np.int64).max), np.full(len(parts), np.iinfo(np.int64).min)
+        np.minimum.at(low, content, docs_of[owner[hit]])
+        np.maximum.at(high, content, docs_of[owner[hit]])
+        first = np.empty(len(parts), dtype=np.int32)
+        first[content[::-1]] = hit[::-1]
+        more = high - low
         sizes = np.array([len(p) for p in parts], dtype=np.int32)
-        found = [
-            (p, key[0], values[first[i]].tobytes(), low[i].tobytes(), high[i].tobytes(), sizes[i].tobytes(), b"".join([parts[k] for k in i]))
-            for p, i in _groups(place[first])
-        ]
+        found = [(p, key[0], *(_packed(c[i]) for c in (first, low, more, sizes)), b"".join([parts[k] for k in i.tolist()])) for p, i in _groups(place[first])]
         return pd.DataFrame(found, columns=columns)
 
     def ordered(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        values = np.concatenate([np.frombuffer(b, dtype=np.uint64) for b in frame["anchors"]])
-        low, high = (np.concatenate([np.frombuffer(b, dtype=np.int64) for b in frame[c]]) for c in ("low", "high"))
-        sizes = [np.frombuffer(b, dtype=np.int32) for b in frame["sizes"]]
+        fragment, low, more = (np.concatenate([_unpacked(b, kind) for b in frame[c]]) for c, kind in (("fragments", np.int32), ("low", np.int64), ("more", np.int64)))
+        high = low + more
+        sizes = [_unpacked(b, np.int32) for b in frame["sizes"]]
         shard = np.repeat(frame["shard"].to_numpy(), [len(s) for s in sizes])
-        number: dict[bytes, int] = {}
-        content = []
-        for data, lengths in zip(frame["bytes"], sizes):
-            at = 0
-            for n in lengths.tolist():
-                content.append(number.setdefault(data[at : at + n], len(number)))
-                at += n
-        content, parts = np.array(content), list(number)
+        ends = [np.cumsum(s) for s in sizes]
+        rows = np.repeat(np.arange(len(sizes)), [len(s) for s in sizes])
+        sizes, ends = np.concatenate(sizes), np.concatenate(ends)
+        content, parts = _numbered(list(frame["bytes"]), rows, ends - sizes, sizes)
         smallest = np.full(len(parts), LAST, dtype=np.int64)
         np.minimum.at(smallest, content, low)
-        value = np.zeros(len(parts), dtype=np.uint64)
-        value[content] = values
         of, begin, end, owner = smallest_owners(parts, smallest, span)
         which, cut = _listed(content, of, len(parts))  # every occurrence gets the cuts of its fragment
         use = owner[cut] < high[which]
         which, cut = which[use], cut[use]
-        digests = {k: hashlib.md5(parts[k]).digest() for k in np.unique(content[which]).tolist()}
         found = [
-            (s, values[which[i]].tobytes(), b"".join([digests[k] for k in content[which[i]].tolist()]), begin[cut[i]].astype(np.int32).tobytes(), end[cut[i]].astype(np.int32).tobytes(), owner[cut[i]].tobytes())
+            (s, _packed(fragment[which[i]]), *(_packed(c[cut[i]].astype(np.int32)) for c in (begin, end)), _packed(owner[cut[i]]))
             for s, i in _groups(shard[which])
         ]
-        return pd.DataFrame(found, columns=["shard", "anchors", "digests", "begins", "ends", "owners"])
+        return pd.DataFrame(found, columns=["shard", "fragments", "begins", "ends", "owners"])
 
     def covered(key: tuple, frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         columns = ["digest", "owner", "n_removed", "n_spans", "kept"]
         if not len(frame):
             return pd.DataFrame([], columns=columns)
         names, docs_of, texts = _owned(frame)
-        marks: dict[int, list[tuple[int, int]]] = {}
+        touched: set[int] = set()
+        ends = np.cumsum([len(t) for t in texts])
         if len(known):
             values, owner, start, count, _, _ = fragments(texts, span, anchor)
-            array = lambda c, kind: np.concatenate([np.frombuffer(b, dtype=kind) for b in known[c]])
-            asked = np.unique(array("anchors", np.uint64))
-            digests, cuts = b"".join(known["digests"]), {}
-            for k, cut in enumerate(zip(array("begins", np.int32).tolist(), array("ends", np.int32).tolist(), array("owners", np.int64).tolist())):
-                cuts.setdefault(digests[16 * k : 16 * k + 16], []).append(cut)
+            array = lambda c, kind=np.int32: np.concatenate([_unpacked(b, kind) for b in known[c]])
+            begin, end, first = array("begins"), array("ends"), array("owners", np.int64)
+            # Fragments with the anchor of one that has cuts get the cuts if they have its bytes.
+            those, cut_of = np.unique(array("fragments"), return_inverse=True)
+            asked = np.unique(values[those])
             hit = np.flatnonzero(asked[np.minimum(np.searchsorted(asked, values), len(asked) - 1)] == values)
-            for t, a, n in zip(owner[hit].tolist(), start[hit].tolist(), count[hit].tolist()):
-                for begin, end, first in cuts.get(hashlib.md5(texts[t][a : a + n + span - 1]).digest(), ()):
-                    if first < docs_of[t]:
-                        marks.setdefault(t, []).append((a + begin, a + end - 1 + span))
+            content, _ = _numbered(texts, *(np.concatenate((c[those], c[hit])) for c in (owner, start, count + span - 1)))
+            content = content[len(those) :]
+            hit, content = hit[content < len(those)], content[content < len(those)]
+            order = np.argsort(cut_of, kind="stable")
+            which, cut = _listed(content, cut_of[order], len(those))
+            which, cut = hit[which], order[cut]
+            use = first[cut] < docs_of[owner[which]]
+            which, cut = which[use], cut[use]
+            touched = set(owner[which].tolist())
+            place = (ends - [len(t) for t in texts])[owner[which]] + start[which]
+            change = np.zeros(ends[-1] + 1, dtype=np.int32)
+            np.add.at(change, place + begin[cut], 1)
+            np.add.at(change, place + end[cut] - 1 + span, -1)
+            gone_at = np.cumsum(change[:-1], dtype=np.int32) > 0
         found = []
         for t, (name, data) in enumerate(zip(names, texts)):
             kept, gone, runs = data, 0, 0
-            if t in marks:
-                change = np.zeros(len(data) + 1, dtype=np.int32)
-                begins, ends = np.array(marks[t]).T
-                np.add.at(change, begins, 1)
-                np.add.at(change, ends, -1)
-                out = np.cumsum(change[:-1]) > 0
+            if t in touched:
+                out = gone_at[ends[t] - len(data) : ends[t]]
                 gone, runs = int(out.sum()), int((out & ~np.r_[False, out[:-1]]).sum())
                 kept = np.frombuffer(data, dtype=np.uint8)[~out].tobytes()
             found.append((name, docs_of[t], gone, runs, hashlib.sha256(kept).hexdigest()))
@@ -359,9 +367,9 @@ def removed(docs: DataFrame, span: int = SPAN, anchor: int = ANCHOR, shard_bytes
     by_place = dealt.groupBy("shard").applyInPandas(anchors, "place long, shard long, names binary, many binary")
     known = by_place.groupBy("place").applyInPandas(repeated, "shard long, place long, names binary")
     parts = dealt.groupBy("shard").cogroup(known.groupBy("shard")).applyInPandas(
-        candidates, "place long, shard long, anchors binary, low binary, high binary, sizes binary, bytes binary"
+        candidates, "place long, shard long, fragments binary, low binary, more binary, sizes binary, bytes binary"
     )
-    owners = parts.groupBy("place").applyInPandas(ordered, "shard long, anchors binary, digests binary, begins binary, ends binary, owners binary")
+    owners = parts.groupBy("place").applyInPandas(ordered, "shard long, fragments binary, begins binary, ends binary, owners binary")
     result = dealt.groupBy("shard").cogroup(owners.groupBy("shard")).applyInPandas(
         covered, "digest binary, owner long, n_removed long, n_spans long, kept string"
     )
